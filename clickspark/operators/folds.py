@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickspark.functions.columns import seconds
-from clickspark.operators.medians import by_dimension
+from clickspark.operators.medians import by_dimension, one_row_per_event
 from clickspark.schema import FILE_COLUMN, SessionSpec
 
 
@@ -38,9 +38,9 @@ def sketch_gaps(
 ) -> DataFrame:
     """Quantile sketches of continuation gaps, ``(*by, what, ref, sketch)``.
 
-    ``gaps`` has one row per gap (``continuation_gaps`` in the user layout).
+    ``gaps`` is what ``continuation_gaps`` gives.
     """
-    rows = by_dimension(gaps, spec, ["gap_ms"], by)
+    rows = by_dimension(one_row_per_event(gaps), spec, ["gap_ms"], by)
     return rows.groupBy(*by, "what", "ref").agg(
         F.kll_sketch_agg_double(F.col("gap_ms").cast("double"), k).alias("sketch")
     )

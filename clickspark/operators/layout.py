@@ -9,21 +9,50 @@ from pyspark.sql import functions as F
 
 from clickspark.functions.columns import slot_start
 from clickspark.schema import SessionSpec
+from clickspark.sources.shared import materialize
 
+ROWS_PER_PORTION = 1_000_000
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the most frequent key. Counts are combined before the shuffle and
-    only the maximum comes to the driver."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.agg(F.max("rows")).first()[0] or 0
 
+def by_size(
+    df: DataFrame, spec: SessionSpec
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """``df`` in two parts: users for the user layout and users for ticks.
 
-def chosen_layout(df: DataFrame, spec: SessionSpec) -> str:
-    """``spec.layout``, with ``auto`` settled by counting the largest user."""
+    In the ``auto`` layout, users of more than ``spec.max_group_rows`` events are
+    listed first, by one aggregate over the user column. Their number is at most
+    the events divided by that limit; if the list is short enough to broadcast,
+    it divides the events in passing, and if not, all events go the way that
+    works for any user. ``None`` stands for a part that is empty.
+    """
     if spec.layout != "auto":
-        return spec.layout
-    fits = largest_group(df, spec.owner) <= spec.max_group_rows
-    return "user" if fits else "ticks"
+        return (df, None) if spec.layout == "user" else (None, df)
+    owner = spec.owner
+    sizes = df.groupBy(*owner).agg(F.count(F.lit(1)).alias("__rows"))
+    large = sizes.where(F.col("__rows") > spec.max_group_rows).select(*owner)
+    listed = large.count()
+    if listed == 0:
+        return df, None
+    if listed > spec.max_listed_users:
+        return None, df
+    large = materialize(large, "large-users")
+    chosen = F.broadcast(large.select(*[F.col(c).alias(f"__l_{c}") for c in owner]))
+    same = F.lit(True)
+    for c in owner:
+        same = same & F.col(c).eqNullSafe(F.col(f"__l_{c}"))
+    return df.join(chosen, same, "left_anti"), df.join(chosen, same, "left_semi")
+
+
+def repeated(df: DataFrame, times: str, index: str) -> DataFrame:
+    """Each row ``times`` over, numbered from 0 in ``index``. Rows are first cut
+    into portions which go to different tasks, so a large number is no burden."""
+    portion = F.lit(ROWS_PER_PORTION).cast("long")
+    begins = F.sequence(F.lit(0).cast("long"), F.col(times) - 1, portion)
+    spread = df.withColumn("__from", F.explode(begins))
+    spread = spread.repartition(F.xxhash64(*spread.columns))
+    last = F.least(F.col("__from") + portion, F.col(times)) - 1
+    numbers = F.sequence(F.col("__from"), last)
+    return spread.withColumn(index, F.explode(numbers)).drop("__from", times)
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"):

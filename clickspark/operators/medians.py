@@ -2,38 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickspark.functions.columns import dimension_rows, seconds
-from clickspark.operators.layout import chosen_layout
+from clickspark.operators.layout import (
+    blocked_running,
+    by_size,
+    join_on_keys,
+    repeated,
+)
 from clickspark.operators.sessions import marked
 from clickspark.operators.ticks import gap_ticks
 from clickspark.schema import SessionSpec
 
+VALUES_PER_BLOCK = 1_000_000
+
 
 def continuation_gaps(df: DataFrame, spec: SessionSpec = SessionSpec()) -> DataFrame:
     """Gaps in front of the events that continue a session: the key columns,
     ``gap_ms`` and ``events``, the number of events with that gap. Reads only
-    keys, timestamp and tiebreak."""
-    narrow = df.select(*spec.keys, spec.ts, *spec.tiebreak)
-    ts = F.col(spec.ts)
+    keys and timestamp: which of several events of a moment is taken for the
+    first changes none of their gaps."""
+    spec = spec.with_(tiebreak=())
+    small, large = by_size(df.select(*spec.keys, spec.ts), spec)
+    parts = []
+    if small is not None:
+        parts.append(_gaps_by_user(small, spec.with_(layout="user")))
+    if large is not None:
+        parts.append(_gaps_by_tick(large, spec))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _gaps_by_user(df: DataFrame, spec: SessionSpec) -> DataFrame:
+    gap = F.col(spec.ts) - F.col("lag")
+    return (
+        marked(df, spec, numbered=False)
+        .where(~F.col("is_start"))
+        .select(*spec.keys, gap.alias("gap_ms"), F.lit(1).cast("long").alias("events"))
+    )
+
+
+def _gaps_by_tick(df: DataFrame, spec: SessionSpec) -> DataFrame:
+    """On a tick of several events all but the first follow without a gap."""
     one = F.lit(1).cast("long")
-    if chosen_layout(narrow, spec) == "user":
-        return (
-            marked(narrow, spec.with_(layout="user"), numbered=False)
-            .where(~F.col("is_start"))
-            .select(*spec.keys, (ts - F.col("lag")).alias("gap_ms"), one.alias("events"))
-        )
-    # On a tick of several events all but the first follow without a gap.
     return (
-        gap_ticks(narrow, spec, ranked=False)
-        .where(ts.isNotNull())
+        gap_ticks(df, spec, ranked=False)
+        .where(F.col(spec.ts).isNotNull())
         .select(
             *spec.keys,
             F.stack(
                 F.lit(2),
-                ts - F.col("lag"), one - F.col("starts"),
+                F.col(spec.ts) - F.col("lag"), one - F.col("starts"),
                 F.lit(0).cast("long"), F.col("copies") - one,
             ).alias("gap_ms", "events"),
         )
@@ -41,6 +61,13 @@ def continuation_gaps(df: DataFrame, spec: SessionSpec = SessionSpec()) -> DataF
     )
 
 
+def one_row_per_event(gaps: DataFrame) -> DataFrame:
+    """Gaps as often as there are events with them, for sketches, which take no
+    weights. Only copies of events have a number above one."""
+    several = repeated(gaps.where("events > 1"), "events", "__i").drop("__i")
+    return gaps.where("events = 1").drop("events").unionByName(several)
+
+
 def by_dimension(rows: DataFrame, spec: SessionSpec, values: list[str], by=()) -> DataFrame:
     """One row per dimension: ``what``, ``ref`` and the ``values`` of the row."""
     ids = [*by, *values]
@@ -54,22 +81,24 @@ def median_of_counts(
 ) -> DataFrame:
     """Exact median per group of ``value`` taken ``weight`` times each.
 
-    Equal values are added up before the shuffle, so that a group holds as many
-    rows as it has different values, however many events there are. The result
-    is the lower of two middle values, or half way ``between`` them.
+    Equal values are added up before the shuffle, and positions are counted in
+    blocks of values, so no task holds more than ``VALUES_PER_BLOCK`` of them,
+    however many there are of one group. The result is the lower of two middle
+    values, or half way ``between`` them. ``value`` is a whole number.
     """
     counted = rows.groupBy(*groups, value).agg(F.sum(weight).alias("__w"))
-    group = Window.partitionBy(*groups)
-    up_to = group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    placed = counted.withColumns(
-        {"__upto": F.sum("__w").over(up_to), "__all": F.sum("__w").over(group)}
+    totals = counted.groupBy(*groups).agg(F.sum("__w").alias("__all"))
+    running = blocked_running(
+        counted, groups, value, F.col("__w"), F.sum, "__upto", VALUES_PER_BLOCK, True
     )
+    placed = join_on_keys(running, totals, groups)
     reached, all_ = F.col("__upto") * 2, F.col("__all")
     before = reached - F.col("__w") * 2
-    low = F.min(F.when((reached >= all_) & (before < all_), F.col(value)))
-    high = F.min(F.when((reached > all_) & (before <= all_), F.col(value)))
+    is_low, is_high = (reached >= all_) & (before < all_), (reached > all_) & (before <= all_)
+    low = F.min(F.when(is_low, F.col(value)))
+    high = F.min(F.when(is_high, F.col(value)))
     middle = (low + high) / F.lit(2.0) if between else low
-    return placed.groupBy(*groups).agg(middle.alias("median"))
+    return placed.where(is_low | is_high).groupBy(*groups).agg(middle.alias("median"))
 
 
 def approximate_median(value: Column, accuracy: int = 10_000) -> Column:
@@ -87,16 +116,15 @@ def median_gap_by_dim(
 
     By default an approximate percentile, which is an observed gap and, up to
     10,000 gaps per value, the lower middle one. ``exact`` is that element for
-    any number of gaps; ``between`` averages the two middle ones. Where a user
-    is too large for one task, the answer is the exact one.
+    any number of gaps; ``between`` averages the two middle ones. ``by`` keeps
+    further columns apart, such as the file.
     """
-    layout = chosen_layout(df.select(*spec.owner), spec)
-    gaps = continuation_gaps(df, spec.with_(layout=layout))
-    rows = by_dimension(gaps, spec, ["gap_ms", "events"], by)
-    groups = [*by, "what", "ref"]
-    if exact or between or layout == "ticks":
+    gaps, groups = continuation_gaps(df, spec), [*by, "what", "ref"]
+    if exact or between:
+        rows = by_dimension(gaps, spec, ["gap_ms", "events"], by)
         found = median_of_counts(rows, groups, "gap_ms", "events", between)
         return found.withColumn("median", seconds(F.col("median")))
+    rows = by_dimension(one_row_per_event(gaps), spec, ["gap_ms"], by)
     gap = seconds(F.col("gap_ms"))
     return rows.groupBy(*groups).agg(approximate_median(gap).alias("median"))
 
@@ -107,20 +135,11 @@ def approx_quantile_gap(
     fraction: float = 0.5,
     relative_error: float = 0.25,
 ) -> DataFrame:
-    """One row: a quantile of all continuation gaps within a rank error.
-
-    Sketches are merged from partial ones. Gaps that count for several events
-    (only copies in the ticks layout do) are placed by exact counting instead.
-    """
-    if chosen_layout(df.select(*spec.owner), spec) == "user":
-        gaps = continuation_gaps(df, spec.with_(layout="user"))
-        accuracy = max(1, round(1 / relative_error))
-        value = F.percentile_approx(seconds(F.col("gap_ms")), fraction, accuracy)
-        return gaps.agg(value.alias("quantile"))
-    gaps = continuation_gaps(df, spec.with_(layout="ticks"))
-    counted = gaps.groupBy("gap_ms").agg(F.sum("events").alias("events"))
-    value = F.percentile(F.col("gap_ms"), fraction, F.col("events"))
-    return counted.agg(seconds(value).alias("quantile"))
+    """One row: a quantile of all continuation gaps within a rank error."""
+    gaps = one_row_per_event(continuation_gaps(df, spec))
+    accuracy = max(1, round(1 / relative_error))
+    value = F.percentile_approx(seconds(F.col("gap_ms")), fraction, accuracy)
+    return gaps.agg(value.alias("quantile"))
 
 
 def median_gap_by_session(sessionized: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from clickspark.functions.columns import (
     session_id,
     session_tag,
 )
-from clickspark.operators.layout import chosen_layout
+from clickspark.operators.layout import by_size
 from clickspark.operators.ticks import marked_by_tick
 from clickspark.schema import SessionSpec
 
@@ -50,9 +50,13 @@ def _marked_by_user(df: DataFrame, spec: SessionSpec, numbered: bool) -> DataFra
 
 
 def marked(df: DataFrame, spec: SessionSpec, numbered: bool) -> DataFrame:
-    if chosen_layout(df, spec) == "user":
-        return _marked_by_user(df, spec, numbered)
-    return marked_by_tick(df, spec, numbered)
+    small, large = by_size(df, spec)
+    parts = []
+    if small is not None:
+        parts.append(_marked_by_user(small, spec, numbered))
+    if large is not None:
+        parts.append(marked_by_tick(large, spec, numbered))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def session_gaps(df: DataFrame, spec: SessionSpec = SessionSpec()) -> DataFrame:

@@ -13,12 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickspark.functions.columns import continues
-from clickspark.operators.layout import blocked_running, join_on_keys
+from clickspark.operators.layout import blocked_running, join_on_keys, repeated
 from clickspark.schema import SessionSpec
 from clickspark.sources.shared import materialize
 
-_COPIES_PER_TASK = 1_000_000
-
 
 def _rank_of_row(df: DataFrame, spec: SessionSpec) -> Column:
     """Order among the events of one tick; equal only for copies of an event."""
@@ -81,17 +79,11 @@ def _spread_copies(copies: DataFrame, columns: list[str]) -> DataFrame:
     """Events that equal the first event of their tick in every column, of which
     exactly one is the first. They are counted before the shuffle, and given back
     in portions that go to different tasks."""
-    counted = copies.groupBy(*columns).agg(F.count(F.lit(1)).alias("__m"))
-    per = F.lit(_COPIES_PER_TASK).cast("long")
-    portions = counted.withColumn(
-        "__from",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("__m") - 1, per)),
-    ).repartition(F.xxhash64("first_rank", "__from"))
-    last = F.least(F.col("__from") + per, F.col("__m")) - 1
+    counted = copies.groupBy(*columns).agg(F.count(F.lit(1)).alias("__times"))
     return (
-        portions.withColumn("__i", F.explode(F.sequence(F.col("__from"), last)))
+        repeated(counted, "__times", "__i")
         .withColumn("__first", F.col("__i") == 0)
-        .drop("__m", "__from", "__i")
+        .drop("__i")
     )
 
 

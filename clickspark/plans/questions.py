@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickspark.operators.folds import fold_counts, fold_median_compat
-from clickspark.operators.layout import chosen_layout
 from clickspark.operators.medians import median_gap_by_dim
 from clickspark.operators.metrics import sessions_by_dim
 from clickspark.operators.starts import session_starts
@@ -69,5 +68,4 @@ def run(
     spec = spec.with_(scope=(FILE_COLUMN,))
     needed = clicks.select(*spec.keys, spec.ts, *spec.tiebreak)
     staged = materialize(needed, "clicks")
-    spec = spec.with_(layout=chosen_layout(staged, spec))
     return answer_questions(staged, spec, median)

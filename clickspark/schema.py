@@ -43,8 +43,9 @@ class SessionSpec:
     itself belongs to. Both number sessions per user, and agree on start rows.
     ``layout``: ``"user"`` places all rows of a user in one window group, with
     one shuffle. ``"ticks"`` bounds every group whatever the data, at the cost
-    of more shuffles. ``"auto"`` counts the rows of the largest user first and
-    takes ``"user"`` if there are at most ``max_group_rows`` of them.
+    of more shuffles. ``"auto"`` takes ticks for users of more than
+    ``max_group_rows`` events, and for all users should there be more than
+    ``max_listed_users`` such.
     ``block_ms``: span of time one window group holds in the ticks layout.
     """
 
@@ -56,7 +57,8 @@ class SessionSpec:
     scope: tuple[str, ...] = ()
     mode: str = "compat"
     layout: str = "auto"
-    max_group_rows: int = 5_000_000
+    max_group_rows: int = 2_000_000
+    max_listed_users: int = 100_000
     block_ms: int = 60_000
 
     def __post_init__(self) -> None:

@@ -25,11 +25,13 @@ def as_clicks(events: DataFrame) -> DataFrame:
 
     Timestamps are read as UTC: the session time zone must be set to it.
     """
-    k = F.get_json_object("props", "$.k").cast("int")
+    # A column of its own, so that the text is parsed once per row.
+    parsed = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k = F.col("k")
     device = F.when(k % 10 == 1, F.lit("dev,1")).when(
         k % 10 != 0, F.concat(F.lit("dev_"), (k % 3).cast("string"))
     )
-    return events.select(
+    return parsed.select(
         F.col("user_id").cast("string").alias("anonymous_id"),
         F.col("event_type").alias("browser_family"),
         device.alias("device_family"),
@@ -37,7 +39,7 @@ def as_clicks(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("event"),
         F.col("event_id").alias("n"),
         F.concat(F.lit("os_"), (F.col("user_id") % 3).cast("string")).alias("os_family"),
-        F.date_format("ts", "yyyy-MM-dd").alias(FILE_COLUMN),
+        F.col("ts").cast("date").cast("string").alias(FILE_COLUMN),
     )
 
 

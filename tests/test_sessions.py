@@ -9,7 +9,7 @@ from conftest import HAND, MINUTE, SPEC, T0, click, clicks
 from pyspark.sql import functions as F
 
 from clickspark import session_gaps, session_smoke, session_starts, sessionize
-from clickspark.operators.layout import chosen_layout, largest_group
+from clickspark.operators.layout import by_size
 
 LAYOUTS = [
     SPEC.with_(layout="user"),
@@ -115,7 +115,7 @@ def test_exact_copies_are_kept_and_only_one_starts(spark, mode):
 
 def test_copies_spread_over_portions(spark, monkeypatch):
     """One event copied many times: given back whole, in more than one portion."""
-    monkeypatch.setattr("clickspark.operators.ticks._COPIES_PER_TASK", 7)
+    monkeypatch.setattr("clickspark.operators.layout.ROWS_PER_PORTION", 7)
     df = clicks(spark, [click("u", "d", "o", "b", T0, 1)] * 100)
     found = sessionize(df, SPEC.with_(layout="ticks"))
     assert found.count() == 100
@@ -181,10 +181,28 @@ def test_clock_before_1970(spark):
         assert found == {0: False, 1: False, 2: True, 3: True, 4: True}
 
 
-def test_layout_follows_the_largest_user(hand):
-    assert largest_group(hand, ["anonymous_id"]) == 6
-    assert chosen_layout(hand, SPEC.with_(max_group_rows=6)) == "user"
-    assert chosen_layout(hand, SPEC.with_(max_group_rows=5)) == "ticks"
+def test_large_users_are_told_apart(hand):
+    parts = lambda **changes: by_size(hand, SPEC.with_(**changes))
+    users = lambda df: {r.anonymous_id for r in df.collect()}
+    small, large = parts(max_group_rows=6)
+    assert large is None and small.count() == 13
+    small, large = parts(max_group_rows=5)
+    assert users(large) == {"u1"} and small.count() == 7
+    small, large = parts(max_group_rows=1)  # also events without a user
+    assert users(large) == {"u1", "u2", None} and users(small) == {"u3"}
+    small, large = parts(max_group_rows=1, max_listed_users=2)
+    assert small is None and large.count() == 13
+
+
+@pytest.mark.parametrize("mode", ["compat", "strict"])
+def test_large_and_small_users_together(spark, mode):
+    df = clicks(spark, random_rows(8)).cache()
+    spec = SPEC.with_(mode=mode)
+    whole, divided = (
+        Counter(map(tuple, sessionize(df, s).select(*df.columns, "session_id").collect()))
+        for s in (spec, spec.with_(max_group_rows=300))
+    )
+    assert whole == divided
 
 
 def test_settings_are_checked():
