@@ -12,6 +12,7 @@ from clickspark.operators.explore import (
     distinct_gaps,
     event_count,
     gap_list_by_session,
+    in_display_order,
     one_session,
     top_users,
     user_timeline,
@@ -59,6 +60,7 @@ __all__ = [
     "fold_median_compat",
     "gap_list_by_session",
     "half_event_count",
+    "in_display_order",
     "median_distinct_gap_by_session",
     "median_gap_by_dim",
     "median_gap_by_session",

@@ -18,6 +18,12 @@ def top_users(df: DataFrame, k: int = 10, spec: SessionSpec = SessionSpec()) ->
     return counts.orderBy(F.desc("count"), F.asc(spec.user)).limit(k)
 
 
+def in_display_order(df: DataFrame, spec: SessionSpec = SessionSpec()) -> DataFrame:
+    """Events by user and time, for showing or writing. A range shuffle, which
+    no operator needs: sort last, and only what is to be read in order."""
+    return df.orderBy(spec.user, spec.ts, *spec.tiebreak)
+
+
 def user_timeline(df: DataFrame, user: str, spec: SessionSpec = SessionSpec()) -> DataFrame:
     """Events of one user in order of time. The filter reaches the scan, also
     when ``df`` has been sessionized."""

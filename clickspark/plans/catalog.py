@@ -18,7 +18,12 @@ from clickspark.plans.questions import answer_questions, run
 from clickspark.schema import CLICK_SCHEMA, FILE_COLUMN, SessionSpec
 from clickspark.sources.clicks import read_saved
 from clickspark.sources.events import event_clicks, stream_event_clicks
-from clickspark.sources.results import nested_json, nested_json_by, save_events_json
+from clickspark.sources.results import (
+    nested_json,
+    nested_json_by,
+    save_events_json,
+    write_question_files,
+)
 from clickspark.sources.shared import shared_path
 from clickspark.streaming.incremental import counts_of_batch, sketches_of_batch
 from clickspark.streaming.sinks import run_available
@@ -59,6 +64,20 @@ def _shown(df: DataFrame) -> DataFrame:
     )
 
 
+def _click_files(spark: SparkSession, clicks: DataFrame) -> str:
+    """Clicks as gzipped JSON, several files a day, a user's day in one of them."""
+    path = shared_path(spark, "click-files")
+    names = [f for f in CLICK_SCHEMA.fieldNames() if f in clicks.columns]
+    (
+        clicks.select(*names, F.col(FILE_COLUMN).alias("day"))
+        .repartition("day", F.pmod(F.xxhash64("anonymous_id"), F.lit(8)))
+        .write.partitionBy("day")
+        .option("compression", "gzip")
+        .json(path)
+    )
+    return path
+
+
 def _starts(clicks: DataFrame, spec: SessionSpec = SIX_HOURS) -> DataFrame:
     return session_starts(clicks, spec)
 
@@ -86,15 +105,24 @@ def json_round_trip(spark, clicks, sf_dir):
 
 @_query
 def application_run(spark, clicks, sf_dir):
-    """Click files written as JSON, one or more per day, and the application on
-    them: counts per dimension value."""
-    path = shared_path(spark, "click-files")
-    names = [f for f in CLICK_SCHEMA.fieldNames() if f in clicks.columns]
-    clicks.select(*names).write.option("compression", "gzip").json(path)
+    """The application on gzipped JSON files, read as one stretch of time:
+    sessions per dimension value."""
+    path = _click_files(spark, clicks)
     _, by_dim, _ = run(spark, path, SIX_HOURS, by_file=False)
     return by_dim
 
 
+@_query
+def application_run_per_file(spark, clicks, sf_dir):
+    """The application with each file by itself: sessions per day of files."""
+    path = _click_files(spark, clicks)
+    per_file, _, _ = run(spark, path, SIX_HOURS, full_path=True)
+    day = F.regexp_extract(FILE_COLUMN, "day=([0-9-]+)/", 1)
+    return per_file.groupBy(day.alias("day")).agg(
+        F.sum("qtd_session").alias("qtd_session")
+    )
+
+
 @_query
 def result_json(spark, clicks, sf_dir):
     """The answer on dimensions, one JSON object each."""
@@ -114,6 +142,25 @@ def sessions_per_file_json(spark, clicks, sf_dir):
     return nested_json(counts, "qtd_session", None, FILE_COLUMN)
 
 
+@_query
+def question_files(spark, clicks, sf_dir):
+    """The application's three documents, written and read back."""
+    path = shared_path(spark, "question-files")
+    write_question_files(answer_questions(clicks, PER_FILE, "exact"), path)
+    docs = [
+        spark.read.text(f"{path}/question{number}.json").select(
+            F.lit(number).alias("question"), F.col("value").alias("json")
+        )
+        for number in (1, 2, 3)
+    ]
+    return docs[0].unionByName(docs[1]).unionByName(docs[2])
+
+
+@_query
+def clickstream_in_order(spark, clicks, sf_dir):
+    return _shown(explore.in_display_order(sessions.sessionize(clicks, SIX_HOURS)))
+
+
 # Sessionizing
 
 
@@ -261,6 +308,20 @@ def approx_quantile_gap(spark, clicks, sf_dir):
     return medians.approx_quantile_gap(clicks, SIX_HOURS)
 
 
+@_query
+def approx_quantile_within_error(spark, clicks, sf_dir):
+    """Whether the rank of the approximate quantile is within its error."""
+    gaps = medians.continuation_gaps(clicks, SIX_HOURS)
+    value = medians.approx_quantile_gap(clicks, SIX_HOURS)
+    gap = F.col("gap_ms") / F.lit(1000.0)
+    below = F.sum(F.when(gap < F.col("quantile"), F.col("events")).otherwise(0))
+    upto = F.sum(F.when(gap <= F.col("quantile"), F.col("events")).otherwise(0))
+    total = F.sum("events")
+    within = (below <= total * 0.75) & (upto >= total * 0.25)
+    beside = gaps.join(F.broadcast(value))  # one row
+    return beside.agg(total.alias("gaps"), within.alias("within_error"))
+
+
 @_query
 def median_gap_by_session(spark, clicks, sf_dir):
     return medians.median_gap_by_session(sessions.sessionize(clicks, SIX_HOURS))
@@ -319,6 +380,12 @@ def gap_list_by_session(spark, clicks, sf_dir):
     return lists.select("session_id", F.array_join(as_ms, ",").alias("deltas_ms"))
 
 
+@_query
+def file_values(spark, clicks, sf_dir):
+    """Events per file, the identity of the input kept as a column."""
+    return clicks.groupBy(FILE_COLUMN).agg(F.count(F.lit(1)).alias("events"))
+
+
 # The application's three answers
 
 

@@ -110,6 +110,8 @@ def oracles() -> dict[str, str]:
             cast(sum(device_sent_timestamp - lag) as bigint) as gap_ms
             from gaps group by same_section""",
         "application_run": _BY_DIM_6H,
+        "application_run_per_file": f"""{_6H_FILE} select file as day, {_COUNT}
+            from sess where {_NEW} group by file""",
         "result_json": f"""{_6H}, rows_ as ({_each_dim(_COUNT, 'sess', where=_NEW)})
             select what, {_json_object('ref', 'qtd_session')} as json
             from rows_ group by what""",
@@ -121,6 +123,21 @@ def oracles() -> dict[str, str]:
         "sessions_per_file_json": f"""{_6H_FILE}, rows_ as (
             select file, {_COUNT} from sess where {_NEW} group by file)
             select {_json_object('file', 'qtd_session')} as json from rows_""",
+        "question_files": f"""{_6H_FILE},
+            one as (select file, {_COUNT} from sess where {_NEW} group by file),
+            two as ({_each_dim(_COUNT, 'sess', where=_NEW)}),
+            three as ({_each_dim(_LOW, 'sess', where='same_section')}),
+            two_by as (select what, {_json_object('ref', 'cast(qtd_session as double)')} as obj
+                       from two group by what),
+            three_by as (select what, {_json_object('ref', 'median')} as obj
+                         from three group by what)
+            select 1 as question, {_json_object('file', 'qtd_session')} as json from one
+            union all select 2, {_json_object('what', 'obj')} from two_by
+            union all select 3, {_json_object('what', 'obj')} from three_by""",
+        "clickstream_in_order": f"{_6H} select {_SESSION_COLUMNS} from sess",
+        "file_values": f"{_6H} select file, count(*) as events from clicks group by file",
+        "approx_quantile_within_error": f"""{_6H} select count(*) as gaps,
+            true as within_error from sess where same_section""",
         "session_gaps": f"{_30M} select {_GAPS_COLUMNS} from gaps",
         "session_gaps_6h": f"{_6H} select {_GAPS_COLUMNS} from gaps",
         "session_gaps_ticks": f"{_6H} select {_GAPS_COLUMNS} from gaps",

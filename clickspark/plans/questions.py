@@ -18,13 +18,14 @@ Answers = tuple[DataFrame, DataFrame, DataFrame]
 
 def answer_questions(
     clicks: DataFrame,
-    spec: SessionSpec = SessionSpec(scope=(FILE_COLUMN,)),
+    spec: SessionSpec = SessionSpec(),
     median: str = "all",
     file: str = FILE_COLUMN,
 ) -> Answers:
     """Sessions per file, sessions per dimension value and median gap per
     dimension value.
 
+    Each file is sessionized by itself.
     ``median``: ``"all"`` over the gaps of all files, ``"exact"`` the same
     without approximation, ``"fold"`` the running average over the files' own.
     Sessions per file and dimension value are written once, as they hold both
@@ -32,6 +33,8 @@ def answer_questions(
     """
     if median not in ("all", "exact", "fold"):
         raise ValueError(f"median must be all, exact or fold, not {median!r}")
+    if file not in spec.scope:
+        spec = spec.with_(scope=(*spec.scope, file))
     by_file = materialize(
         sessions_by_dim(session_starts(clicks, spec), spec, by=(file,)), "file-counts"
     )
@@ -53,6 +56,7 @@ def run(
     spec: SessionSpec = SessionSpec(),
     by_file: bool = True,
     median: str = "all",
+    full_path: bool = False,
 ) -> Answers:
     """Read JSON click files and answer the questions.
 
@@ -60,12 +64,12 @@ def run(
     Parquet to the shared folder, and every job reads from there. ``by_file``
     sessionizes each file by itself; otherwise sessions go on from one file to
     the next, and the count per file is that of the sessions starting in it
-    taken together, under the name ``"*"``.
+    taken together, under the name ``"*"``. ``full_path`` tells files by their
+    path instead of their name.
     """
-    clicks = read_clicks(spark, path, by_file=by_file)
+    clicks = read_clicks(spark, path, by_file=by_file, full_path=full_path)
     if not by_file:
         clicks = clicks.withColumn(FILE_COLUMN, F.lit("*"))
-    spec = spec.with_(scope=(FILE_COLUMN,))
-    needed = clicks.select(*spec.keys, spec.ts, *spec.tiebreak)
+    needed = clicks.select(*dict.fromkeys([FILE_COLUMN, *spec.keys, spec.ts]))
     staged = materialize(needed, "clicks")
     return answer_questions(staged, spec, median)

@@ -1,0 +1,62 @@
+"""What a task does with the new events of one user. Sent to the tasks by value,
+so that they need pandas but not this package."""
+
+from __future__ import annotations
+
+import json
+
+import numpy as np
+import pandas as pd
+
+
+def combinations(events: pd.DataFrame, dims: list[str]) -> tuple[np.ndarray, list[str]]:
+    """For every event the number of its combination of dimensions, and the
+    combinations as text. Numbered by first appearance."""
+    if not dims:
+        return np.zeros(len(events), "int64"), ["[]"]
+    code = events.groupby(dims, dropna=False, sort=False).ngroup().to_numpy()
+    shown = events.loc[~pd.Series(code).duplicated(), dims]
+    names = [
+        json.dumps([None if pd.isna(v) else v for v in row])
+        for row in shown.itertuples(index=False)
+    ]
+    return code, names
+
+
+def advance(
+    events: pd.DataFrame,
+    ts: str,
+    dims: list[str],
+    order: list[str],
+    gap_ms: int,
+    compat: bool,
+    started: int,
+    active: dict[str, list[int]],
+) -> tuple[pd.DataFrame, int, dict[str, list[int]]]:
+    """Mark one user's new events, given the number of sessions so far and, for
+    each active combination, its last timestamp and session number."""
+    events = events.sort_values(order, na_position="first", kind="stable", ignore_index=True)
+    at = events[ts].to_numpy("int64")
+    code, names = combinations(events, dims)
+    known = [active.get(name) for name in names]
+
+    def from_state(index: int) -> pd.Series:
+        per_name = pd.array([k[index] if k else None for k in known], dtype="Int64")
+        return pd.Series(per_name[code])
+
+    previous = pd.Series(at).groupby(code).shift(1).astype("Int64")
+    gap = at - previous.fillna(from_state(0))
+    same = (gap < gap_ms).fillna(False).to_numpy(bool)
+    running = pd.Series(started + np.cumsum(~same))
+    own = running.where(~same).astype("Int64").groupby(code).ffill().fillna(from_state(1))
+    last = pd.DataFrame({"at": at, "own": own}).groupby(code).last()
+    for number, row in zip(last.index, last.itertuples(index=False)):
+        active[names[number]] = [int(row.at), int(row.own)]
+    # In compat mode events of one moment share the latest number.
+    ordinal = running.groupby(at).transform("max") if compat else own
+    marked = events.assign(
+        same_section=same,
+        delta_seg=np.where(same, gap.fillna(0).to_numpy("int64") / 1000.0, 0.0),
+        ordinal=ordinal.to_numpy("int64"),
+    )
+    return marked, started + int((~same).sum()), active

@@ -5,8 +5,8 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,53 +14,15 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from clickspark.functions.columns import event_time, session_id
 from clickspark.schema import SessionSpec
+from clickspark.streaming import advance as worker
+
+cloudpickle.register_pickle_by_value(worker)
 
 _STATE = T.StructType(
-    [T.StructField("started", T.LongType()), T.StructField("open", T.StringType())]
+    [T.StructField("started", T.LongType()), T.StructField("active", T.StringType())]
 )
 
 
-def _advance(events: pd.DataFrame, spec: SessionSpec, started: int, open_: dict):
-    """Mark one user's new events, given the sessions started so far and, for
-    each combination of dimensions, last timestamp and session number."""
-    order = [spec.ts, *spec.tiebreak, *spec.dims]
-    events = events.sort_values(order, na_position="first", kind="stable", ignore_index=True)
-    ts = events[spec.ts].to_numpy("int64")
-    dims = list(spec.dims)
-    if dims:
-        # Numbered by first appearance, which is the order duplicates go in, too.
-        code = events.groupby(dims, dropna=False, sort=False).ngroup().to_numpy()
-        shown = events.loc[~pd.Series(code).duplicated(), dims]
-        names = [
-            json.dumps([None if pd.isna(v) else v for v in row])
-            for row in shown.itertuples(index=False)
-        ]
-    else:
-        code, names = np.zeros(len(events), "int64"), ["[]"]
-    known = [open_.get(name) for name in names]
-    first_lag = pd.Series([k[0] if k else None for k in known], dtype="Int64")
-    lag = events.groupby(code)[spec.ts].shift(1).astype("Int64")
-    lag = lag.fillna(pd.Series(first_lag.to_numpy()[code], index=lag.index, dtype="Int64"))
-    gap = pd.Series(ts).astype("Int64") - lag
-    same = (gap < spec.gap_ms).fillna(False).to_numpy(bool)
-    own = pd.Series(np.where(same, np.nan, started + np.cumsum(~same)))
-    carried = pd.Series([k[1] if k else np.nan for k in known], dtype="float64")
-    own = own.groupby(code).ffill().fillna(pd.Series(carried.to_numpy()[code]))
-    ordinal = own.astype("int64")
-    if spec.mode == "compat":
-        running = pd.Series(started + np.cumsum(~same))
-        ordinal = running.groupby(ts).transform("max")
-    last = pd.DataFrame({"code": code, "ts": ts, "own": own.astype("int64")})
-    for row in last.groupby("code").last().itertuples():
-        open_[names[row.Index]] = [int(row.ts), int(row.own)]
-    marked = events.assign(
-        same_section=same,
-        delta_seg=np.where(same, gap.fillna(0).to_numpy("int64") / 1000.0, 0.0),
-        ordinal=ordinal.to_numpy("int64"),
-    )
-    return marked, started + int((~same).sum()), open_
-
-
 def stream_sessionize(
     stream: DataFrame, spec: SessionSpec = SessionSpec(mode="strict"), lateness: str = "1 day"
 ) -> DataFrame:
@@ -85,21 +47,26 @@ def stream_sessionize(
         ]
     )
     columns = source.fieldNames()
+    # Plain values only: tasks do not know the classes of this package.
+    advance, ts, dims, gap_ms = worker.advance, spec.ts, list(spec.dims), spec.gap_ms
+    order, compat = [spec.ts, *spec.tiebreak, *spec.dims], spec.mode == "compat"
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState):
-        started, open_ = 0, {}
+        started, active = 0, {}
         if state.exists:
             started, text = state.get
-            open_ = json.loads(text)
+            active = json.loads(text)
         now = state.getCurrentWatermarkMs()
         if not state.hasTimedOut:
             events = pd.concat(list(frames), ignore_index=True)
-            marked, started, open_ = _advance(events, spec, started, open_)
+            marked, started, active = advance(
+                events, ts, dims, order, gap_ms, compat, started, active
+            )
             yield marked[[*columns, "same_section", "delta_seg", "ordinal"]]
-        open_ = {k: v for k, v in open_.items() if v[0] + spec.gap_ms > now}
-        state.update((started, json.dumps(open_)))
-        if open_:
-            due = min(v[0] for v in open_.values()) + spec.gap_ms
+        active = {k: v for k, v in active.items() if v[0] + gap_ms > now}
+        state.update((started, json.dumps(active)))
+        if active:
+            due = min(v[0] for v in active.values()) + gap_ms
             state.setTimeoutTimestamp(max(due, now + 1))
 
     marked = (

@@ -14,7 +14,8 @@ def stream_session_windows(
     stream: DataFrame, spec: SessionSpec = SessionSpec(), lateness: str = "1 day"
 ) -> DataFrame:
     """One row per session: the keys, ``start_ts``, ``end_ts``, ``events`` and
-    ``duration``. Partial windows are merged in each task before the shuffle.
+    ``duration``. With the package's settings each task merges what it holds of
+    a session before the shuffle, so a busy user sends one row per session.
 
     Spark's session window takes in an event exactly one gap after the last;
     here it begins a new session, hence one millisecond less. In append mode a
