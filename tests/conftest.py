@@ -19,7 +19,7 @@ def spark(tmp_path_factory):
     session = spark_session(
         "tests",
         "local[4]",
-        4,
+        2,
         **{
             "spark.ui.enabled": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
