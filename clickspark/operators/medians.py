@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickspark.functions.columns import dimension_rows, seconds
-from clickspark.operators.layout import (
-    blocked_running,
-    by_size,
-    join_on_keys,
-    repeated,
-)
+from clickspark.functions.columns import dimension_rows, seconds, slot_start
+from clickspark.operators.layout import by_size, join_on_keys, repeated
 from clickspark.operators.sessions import marked
 from clickspark.operators.ticks import gap_ticks
 from clickspark.schema import SessionSpec
@@ -76,29 +71,59 @@ def by_dimension(rows: DataFrame, spec: SessionSpec, values: list[str], by=()) -
     )
 
 
+def _holds_low(upto: Column, weight: Column, total: Column) -> Column:
+    """Whether the lower middle position lies within the last ``weight`` of ``upto``."""
+    return (upto * 2 >= total) & ((upto - weight) * 2 < total)
+
+
+def _holds_high(upto: Column, weight: Column, total: Column) -> Column:
+    return (upto * 2 > total) & ((upto - weight) * 2 <= total)
+
+
 def median_of_counts(
     rows: DataFrame, groups: list[str], value: str, weight: str, between: bool = False
 ) -> DataFrame:
     """Exact median per group of ``value`` taken ``weight`` times each.
 
-    Equal values are added up before the shuffle, and positions are counted in
-    blocks of values, so no task holds more than ``VALUES_PER_BLOCK`` of them,
+    Equal values are added up before the shuffle. Positions are counted on
+    blocks of values first, and on single values only in the block or two that
+    hold the middle, so no task sorts more than ``VALUES_PER_BLOCK`` values,
     however many there are of one group. The result is the lower of two middle
     values, or half way ``between`` them. ``value`` is a whole number.
     """
-    counted = rows.groupBy(*groups, value).agg(F.sum(weight).alias("__w"))
-    totals = counted.groupBy(*groups).agg(F.sum("__w").alias("__all"))
-    running = blocked_running(
-        counted, groups, value, F.col("__w"), F.sum, "__upto", VALUES_PER_BLOCK, True
+    counted = (
+        rows.groupBy(*groups, value)
+        .agg(F.sum(weight).alias("__w"))
+        .withColumn("__block", slot_start(F.col(value), VALUES_PER_BLOCK))
+    )
+    of_group = Window.partitionBy(*groups)
+    until = of_group.orderBy("__block").rowsBetween(Window.unboundedPreceding, 0)
+    upto, total = F.col("__upto"), F.col("__total")
+    holding = (
+        counted.groupBy(*groups, "__block")
+        .agg(F.sum("__w").alias("__in_block"))
+        .withColumn("__upto", F.sum("__in_block").over(until))
+        .withColumn("__total", F.sum("__in_block").over(of_group))
+        .where(
+            _holds_low(upto, F.col("__in_block"), total)
+            | _holds_high(upto, F.col("__in_block"), total)
+        )
+        .select(
+            *groups, "__block", "__total", (upto - F.col("__in_block")).alias("__before")
+        )
+    )
+    within = (
+        Window.partitionBy(*groups, "__block")
+        .orderBy(value)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    placed = join_on_keys(counted, holding, [*groups, "__block"]).withColumn(
+        "__upto", F.col("__before") + F.sum("__w").over(within)
     )
-    placed = join_on_keys(running, totals, groups)
-    reached, all_ = F.col("__upto") * 2, F.col("__all")
-    before = reached - F.col("__w") * 2
-    is_low, is_high = (reached >= all_) & (before < all_), (reached > all_) & (before <= all_)
-    low = F.min(F.when(is_low, F.col(value)))
-    high = F.min(F.when(is_high, F.col(value)))
+    low = F.min(F.when(_holds_low(upto, F.col("__w"), total), F.col(value)))
+    high = F.min(F.when(_holds_high(upto, F.col("__w"), total), F.col(value)))
     middle = (low + high) / F.lit(2.0) if between else low
-    return placed.where(is_low | is_high).groupBy(*groups).agg(middle.alias("median"))
+    return placed.groupBy(*groups).agg(middle.alias("median"))
 
 
 def approximate_median(value: Column, accuracy: int = 10_000) -> Column:

@@ -3,6 +3,8 @@
 import gzip
 import json
 import pathlib
+import random
+import statistics
 from collections import Counter
 
 import pytest
@@ -104,6 +106,22 @@ def test_weighted_median(spark, weights, low, middle):
     assert median_of_counts(df, ["g"], "v", "w", between=True).first().median == middle
 
 
+@pytest.mark.parametrize("block", [1, 10, 1000])
+def test_median_over_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr("clickspark.operators.medians.VALUES_PER_BLOCK", block)
+    rng = random.Random(block)
+    values = {
+        f"g{g}": [rng.choice([0, 1, 9, 10, 11, 50, rng.randrange(200)]) for _ in range(g + 1)]
+        for g in range(25)
+    }
+    rows = [(g, v, 1) for g, vs in values.items() for v in vs]
+    df = spark.createDataFrame(rows, "g string, v long, w long")
+    low = {r.g: r.median for r in median_of_counts(df, ["g"], "v", "w").collect()}
+    mid = {r.g: r.median for r in median_of_counts(df, ["g"], "v", "w", between=True).collect()}
+    assert low == {g: statistics.median_low(vs) for g, vs in values.items()}
+    assert mid == {g: statistics.median(vs) for g, vs in values.items()}
+
+
 def test_medians_per_session(hand):
     sess = cs.sessionize(hand)
     found = {r.session_id: r.median for r in cs.median_gap_by_session(sess).collect()}
