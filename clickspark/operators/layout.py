@@ -58,8 +58,8 @@ def repeated(df: DataFrame, times: str, index: str) -> DataFrame:
 def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"):
     """Join in which null keys match each other; right-hand keys are dropped.
 
-    No window follows these joins, so adaptive execution may split a skewed
-    partition of the left side.
+    Where nothing above needs the placement by key, adaptive execution may split
+    a skewed partition of the left side.
     """
     renamed = right.select(
         *[F.col(k).alias(f"__r_{k}") if k in keys else F.col(k) for k in right.columns]

@@ -26,6 +26,7 @@ from clickspark.sources.results import (
 )
 from clickspark.sources.shared import shared_path
 from clickspark.streaming.incremental import counts_of_batch, sketches_of_batch
+from clickspark.streaming.ledger import read_sessions, start_sessionizing
 from clickspark.streaming.sinks import run_available
 from clickspark.streaming.stateful import stream_sessionize
 from clickspark.streaming.windows import stream_session_windows
@@ -431,6 +432,16 @@ def stream_session_ids(spark, clicks, sf_dir):
     return _shown(run_available(spark, marked, "stream-sessions"))
 
 
+@_query
+def stream_session_ledger(spark, clicks, sf_dir):
+    base = shared_path(spark, "stream-ledger")
+    query = start_sessionizing(
+        stream_event_clicks(spark, sf_dir), f"{base}/out", f"{base}/checkpoint", STRICT
+    )
+    query.awaitTermination()
+    return _shown(read_sessions(spark, f"{base}/out"))
+
+
 @_query
 def labelled_devices(spark, clicks, sf_dir):
     """Device values as they are reported."""

@@ -215,6 +215,7 @@ def oracles() -> dict[str, str]:
               as duration
             from sess group by anonymous_id, {_DIMS}, session_id""",
         "stream_session_ids": f"{_6H_STRICT} select {_SESSION_COLUMNS} from sess",
+        "stream_session_ledger": f"{_6H_STRICT} select {_SESSION_COLUMNS} from sess",
         "labelled_devices": f"""{_6H} select ltrim(coalesce(device_family,
             'Not Identified')) as ref, count(*) as events from clicks group by 1""",
     }

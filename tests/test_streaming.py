@@ -11,6 +11,7 @@ import clickspark as cs
 from clickspark.schema import CLICK_SCHEMA
 from clickspark.sources.clicks import stream_clicks
 from clickspark.streaming.incremental import BY_FILE, counts_of_batch, sketches_of_batch
+from clickspark.streaming.ledger import SessionLedger, read_sessions, start_sessionizing
 from clickspark.streaming.sinks import read_batches, run_available, start_batches
 from clickspark.streaming.stateful import stream_sessionize
 from clickspark.streaming.windows import late_rows, stream_session_windows
@@ -125,3 +126,28 @@ def test_state_survives_a_restart(spark, tmp_path):
     assert in_order(read_batches(spark, out)) == in_order(
         cs.sessionize(clicks(spark, rows), STRICT)
     )
+
+
+@pytest.mark.parametrize(
+    "spec",
+    [STRICT, SPEC, STRICT.with_(max_group_rows=6)],
+    ids=["strict", "compat", "divided"],
+)
+def test_ledger_equals_the_batch(spark, tmp_path, spec):
+    rows = ordered_rows()
+    arrive(tmp_path / "in", rows, 4)
+    stream = stream_clicks(spark, str(tmp_path / "in"), by_file=False)
+    out = str(tmp_path / "out")
+    query = start_sessionizing(stream, out, str(tmp_path / "cp"), spec, whole_every=2)
+    query.awaitTermination()
+    assert in_order(read_sessions(spark, out)) == in_order(cs.sessionize(clicks(spark, rows), spec))
+
+
+def test_ledger_batch_may_be_run_again(spark, tmp_path):
+    rows = ordered_rows()
+    ledger = SessionLedger(str(tmp_path), STRICT)
+    for batch, part in [(0, rows[:20]), (1, rows[20:]), (1, rows[20:])]:
+        ledger.add(clicks(spark, part), batch)
+    assert in_order(read_sessions(spark, str(tmp_path))) == in_order(
+        cs.sessionize(clicks(spark, rows), STRICT)
+    )
