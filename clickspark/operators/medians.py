@@ -65,10 +65,7 @@ def one_row_per_event(gaps: DataFrame) -> DataFrame:
 
 def by_dimension(rows: DataFrame, spec: SessionSpec, values: list[str], by=()) -> DataFrame:
     """One row per dimension: ``what``, ``ref`` and the ``values`` of the row."""
-    ids = [*by, *values]
-    return rows.select(*ids, *dimension_rows(spec)).unpivot(
-        ids, list(spec.dims), "what", "ref"
-    )
+    return rows.select(*by, *values, dimension_rows(spec))
 
 
 def _holds_low(upto: Column, weight: Column, total: Column) -> Column:

@@ -53,9 +53,7 @@ def sessions_by_dim(
     ``by`` keeps further columns apart, such as the file: such parts add up to
     the whole with ``fold_counts``.
     """
-    rows = starts.select(*by, spec.user, "starts", *dimension_rows(spec)).unpivot(
-        [*by, spec.user, "starts"], list(spec.dims), "what", "ref"
-    )
+    rows = starts.select(*by, spec.user, "starts", dimension_rows(spec))
     return rows.groupBy(*by, "what", "ref").agg(_counted(spec))
 
 

@@ -61,6 +61,14 @@ def test_dimensions_are_sessionized_once(stored):
     assert found.count("FileScan") == 1 and found.count("Window [") == 1
 
 
+def test_exact_median_measures_gaps_once(stored):
+    df = cs.median_gap_by_dim(stored, USER, exact=True)
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+    assert final.count("Window [lag(") == 1
+
+
 def test_only_needed_columns_are_read(stored):
     scan = r"FileScan parquet \[([^\]]*)\]"
     read = lambda df: set(re.findall(r"(\w+)#", re.search(scan, plan(df))[1]))
