@@ -22,6 +22,8 @@ def spark(tmp_path_factory):
         2,
         **{
             "spark.ui.enabled": "false",
+            # Tables of a few rows: compiling a plan takes longer than running it.
+            "spark.sql.codegen.wholeStage": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
