@@ -313,14 +313,13 @@ def approx_quantile_gap(spark, clicks, sf_dir):
 def approx_quantile_within_error(spark, clicks, sf_dir):
     """Whether the rank of the approximate quantile is within its error."""
     gaps = medians.continuation_gaps(clicks, SIX_HOURS)
-    value = medians.approx_quantile_gap(clicks, SIX_HOURS)
+    value = medians.approx_quantile_gap(clicks, SIX_HOURS).scalar()
     gap = F.col("gap_ms") / F.lit(1000.0)
-    below = F.sum(F.when(gap < F.col("quantile"), F.col("events")).otherwise(0))
-    upto = F.sum(F.when(gap <= F.col("quantile"), F.col("events")).otherwise(0))
+    below = F.sum(F.when(gap < value, F.col("events")).otherwise(0))
+    upto = F.sum(F.when(gap <= value, F.col("events")).otherwise(0))
     total = F.sum("events")
     within = (below <= total * 0.75) & (upto >= total * 0.25)
-    beside = gaps.join(F.broadcast(value))  # one row
-    return beside.agg(total.alias("gaps"), within.alias("within_error"))
+    return gaps.agg(total.alias("gaps"), within.alias("within_error"))
 
 
 @_query
