@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickspark.sources.shared import materialize
@@ -62,67 +62,58 @@ def _moved(rows: DataFrame, moves: DataFrame, column: str) -> DataFrame:
 
 
 def linked_places(
-    postings: DataFrame, keys: list[str], verified: Callable[[DataFrame], DataFrame]
+    postings: DataFrame,
+    near: Callable[[Column, Column], Column],
+    verified: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The groups (``node``, ``root``) of nodes that share a bucket and link.
 
-    ``postings`` places nodes (column ``node``, long) in buckets (``keys``).
-    ``verified`` keeps, of rows ``a``, ``b``, those that are links. Nodes
-    without a link may be absent.
+    ``postings`` places each node (column ``node``, long) in buckets (column
+    ``key``, long); a column ``mark`` says what is compared, if it is not the
+    node itself. A pair links if ``near`` holds of its marks and ``verified``
+    keeps its row (``a``, ``b``). Nodes without a link may be absent from the
+    result.
 
-    First each node is compared with one node of its bucket, the centre (in
-    buckets of two that is all). Groups that arise are put together; then nodes
-    that are not in their centre's group are compared with the nodes of the
-    bucket in other groups. Pairs within a group are left out, as they join
-    nothing new, and no pair that could is.
+    First each node is compared with one node of its bucket, the centre. Groups
+    that arise are put together; then nodes that are not in their centre's group
+    are compared with the nodes of the bucket in other groups. Pairs within a
+    group are left out, as they join nothing new, and no pair that could is.
     """
-    rank = F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("node"))
-    buckets = materialize(
-        postings.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("node").alias("low"),
-            F.max("node").alias("high"),
-            F.min(rank).alias("centre"),
-        )
-        .where("n > 1")
-        .select(*keys, "n", "low", "high", F.col("centre.node").alias("centre")),
-        "buckets",
-    )
+    mark = "mark" if "mark" in postings.columns else "node"
+    parts = list(dict.fromkeys(["node", mark]))
+    bucket = Window.partitionBy("key")
+    ranked = F.struct(F.xxhash64("node").alias("h"), *parts)
     members = materialize(
-        postings.join(buckets.where("n > 2").select(*keys, "centre"), keys), "members"
-    )
-    pairs = (
-        buckets.where("n = 2")
-        .select(F.col("low").alias("a"), F.col("high").alias("b"))
-        .unionByName(
-            members.where("node <> centre").select(
-                F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
-            )
-        )
-        .where("a < b")
+        postings.select("key", *parts)
+        .withColumns({"n": F.count(F.lit(1)).over(bucket), "centre": F.min(ranked).over(bucket)})
+        .where("n > 1")
+        .select("key", F.struct(*parts).alias("x"), "centre"),
+        "members",
     )
-    links = materialize(verified(pairs.distinct()).select("a", "b"), "pairs")
-    places = components(links)
 
-    at = places.select("node", "root")
-    centres = places.select(F.col("node").alias("centre"), F.col("root").alias("centre_root"))
+    def links(pairs: DataFrame) -> DataFrame:
+        close = pairs.where("x.node <> y.node").where(near(F.col(f"x.{mark}"), F.col(f"y.{mark}")))
+        close = close.select(
+            F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
+        ).distinct()
+        return materialize(verified(materialize(close, "close")) if verified else close, "pairs")
+
+    first = links(members.select("x", F.col("centre").alias("y")))
+    places = components(first)
+
+    centres = places.select(F.col("node").alias("c"), F.col("root").alias("centre_root"))
     placed = materialize(
-        members.join(at, "node", "left")
-        .join(centres, "centre", "left")
+        members.join(places, members["x.node"] == places["node"], "left")
+        .join(centres, F.col("centre.node") == F.col("c"), "left")
         .select(
-            *keys,
-            "node",
-            F.coalesce("root", "node").alias("root"),
-            F.coalesce("centre_root", "centre").alias("centre_root"),
+            "key",
+            "x",
+            F.coalesce("root", "x.node").alias("root"),
+            F.coalesce("centre_root", "centre.node").alias("centre_root"),
         ),
         "placed",
     )
-    apart = placed.where("root <> centre_root").select(*keys, F.col("node").alias("a"), "root")
-    others = placed.select(*keys, F.col("node").alias("b"), F.col("root").alias("b_root"))
-    pairs = apart.join(others, keys).where("root <> b_root")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = materialize(verified(pairs.distinct()).select("a", "b"), "pairs")
-    if more.isEmpty():
-        return places
-    return components(links.unionByName(more))
+    apart = placed.where("root <> centre_root").select("key", "x", "root")
+    others = placed.select("key", F.col("x").alias("y"), F.col("root").alias("other_root"))
+    more = links(apart.join(others, "key").where("root <> other_root").select("x", "y"))
+    return places if more.isEmpty() else components(first.unionByName(more))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickspark.llm import simhash_dedup
+from clickspark.llm import chat, language_id, line_dedup, quality_rules, simhash_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,9 +32,143 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, removed="n_removed")
+
+
 @_query
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id", simhash_dedup.hex_digits().alias("fingerprint"), "component_id"
     )
+
+
+@_query
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    chats = chat.format_chats(turns.unionByName(more))
+    read = chats.select(
+        "conv_id",
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.learnt_text(F.col("segments")).alias("learnt"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+    )
+    line = F.lit("\n")
+    told = F.transform("turns", lambda t: F.concat(t["role"], line, t["text"], line))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(told, ""), 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"),
+        F.sha2("learnt", 256).alias("loss_sha256"),
+        "formatted_chars",
+        "valid",
+    )
+
+
+_SQL["op3_chat_formatting"] = r"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+    union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), numbered as (
+    select *, row_number() over (partition by conv_id order by turn, role, text) as k,
+        lag(role, 1, '') over (partition by conv_id order by turn, role, text) as before,
+        row_number() over (partition by conv_id order by turn desc, role desc, text desc) as back,
+        length(text) + len(regexp_extract_all(text, '[\\#<:]')) as chars,
+        case when role in ('system', 'user', 'assistant') then length(role)
+            else 1 + length(role) + len(regexp_extract_all(role, '[\\#<:]')) end as label_chars
+    from turns
+)
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by k)) as turns_sha256,
+    cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by k) filter (role = 'assistant'), '')) as loss_sha256,
+    cast(sum(4 + label_chars + 2 + chars + 8) as bigint) as formatted_chars,
+    bool_and((before, role) in (('', 'system'), ('', 'user'), ('system', 'user'),
+        ('user', 'assistant'), ('assistant', 'user'))
+        and (back > 1 or role = 'assistant')) as valid
+from numbered group by conv_id
+"""
+
+
+@_query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.where(~language_id.held_out()))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(~toxicity.held_out())
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@_query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return quality_rules.judge(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
+_SQL["op9_quality_rules"] = r"""
+with texts as (
+    select row_number() over () as r, doc_id, source, coalesce(text, '') as text from documents
+), words as (
+    select *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') as w,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l
+    from texts
+), windows as (
+    select r, w[k] as a, w[k + 1] as b, w[k + 2] as c, k
+    from (select r, w, unnest(range(1, len(w) - 1)) as k from words where len(w) > 2)
+), repeated as (
+    select r, count(distinct place) as n_repeat_words from (
+        select r, unnest([k, k + 1, k + 2]) as place from (
+            select r, k, count(*) over (partition by r, a, b, c) as n from windows
+        ) where n > 1
+    ) group by r
+), metrics as (
+    select doc_id, source, len(w) as n_words,
+        cast(length(array_to_string(w, '')) as bigint) as word_chars,
+        cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+        len(l) as n_lines, len(l) - len(list_distinct(l)) as n_dup_lines,
+        coalesce(n_repeat_words, 0) as n_repeat_words
+    from words left join repeated using (r)
+), judged as (
+    select *, [n_words < 50, 100 * n_repeat_words > 50 * n_words,
+        10 * n_symbols > word_chars, 2 * n_dup_lines > n_lines] as fails from metrics
+), hosts as (
+    select source, k, count(*) as n, sum(cast(fails[k] as int)) / count(*) as share
+    from (select source, fails, unnest([1, 2, 3, 4]) as k from judged where source is not null)
+    group by source, k
+), priors as (
+    select k, avg(share) as mean, var_pop(share) as spread, avg(1.0 / n) as per_doc
+    from hosts group by k
+), rejected as (
+    select distinct source from hosts join priors using (k),
+        lateral (select spread - mean * (1 - mean) * per_doc as beyond) t,
+        lateral (select greatest(mean * (1 - mean) / nullif(beyond, 0) - 1, 0) as weight) u
+    where case when beyond > 0 then (share * n + weight * mean) / (n + weight) else mean end > 0.5
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    fails[1] or fails[2] as base_failed,
+    not (fails[1] or fails[2]) and (source is null or source not in (from rejected)) as kept
+from judged
+"""

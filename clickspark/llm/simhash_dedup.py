@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickspark.llm.components import linked_places
-from clickspark.llm.words import blocks, hash_spans, split_words
+from clickspark.llm.words import LOWER, blocks, hash_spans, split_words
 from clickspark.sources.shared import materialize
 
 BYTES = 8
@@ -26,7 +26,7 @@ def fingerprints(texts: list[bytes], size: int = 4) -> np.ndarray:
     ``size`` words, repeats included. A bit is set if more than half of the
     hashes have it. A text without words has fingerprint 0.
     """
-    words = split_words(texts, lower=True)
+    words = split_words(texts, LOWER)
     starts, ends, first = words.shingles(size)
     hashes = hash_spans(words.data, starts, ends)
     found = np.zeros(len(texts), np.uint64)
@@ -81,17 +81,18 @@ def close_fingerprints(prints: DataFrame, bits: int = 4) -> DataFrame:
         F.col("node").bitwiseAND(F.lit(_signed(sum(0xFF << 8 * k for k in kind))))
         for kind in kinds
     ]
-    postings = prints.select("node", F.posexplode(F.array(*keys)).alias("kind", "value"))
+    key = F.explode(F.array(*(F.xxhash64(F.lit(k), key) for k, key in enumerate(keys))))
+    postings = prints.select("node", key.alias("key"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        differing = F.col("a").bitwiseXOR(F.col("b"))
+    def near(a: Column, b: Column) -> Column:
+        differing = a.bitwiseXOR(b)
         shared = sum(
             F.when(differing.bitwiseAND(F.lit(_signed(0xFF << 8 * k))) == 0, 1).otherwise(0)
             for k in range(BYTES)
         )
-        return pairs.where(shared >= least).where(F.bit_count(differing) <= bits)
+        return (shared >= least) & (F.bit_count(differing) <= bits)
 
-    return linked_places(postings, ["kind", "value"], verified)
+    return linked_places(postings, near)
 
 
 def near_duplicates(

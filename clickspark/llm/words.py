@@ -18,7 +18,10 @@ SPACE = 32
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _SAME = np.arange(256, dtype=np.uint8)
-_LOWER = np.where((_SAME >= 65) & (_SAME <= 90), _SAME + 32, _SAME).astype(np.uint8)
+#: Byte tables for ``split_words``: A-Z in lower case; also ASCII punctuation as space.
+LOWER = np.where((_SAME >= 65) & (_SAME <= 90), _SAME + 32, _SAME).astype(np.uint8)
+BARE = LOWER.copy()
+BARE[[c for c in range(33, 127) if not chr(c).isalnum()]] = SPACE
 
 _P1, _P2, _P3, _P4, _P5 = (
     np.uint64(p)
@@ -56,14 +59,17 @@ class Words:
         return self.starts[word], self.ends[last], at
 
 
-def split_words(texts: list[bytes], lower: bool = False) -> Words:
+def split_words(texts: list[bytes], table: np.ndarray | None = None) -> Words:
+    """The words of UTF-8 texts, whose bytes are first replaced by ``table``."""
     raw = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+    if table is not None:
+        raw = table[raw]
     space = _IS_SPACE[raw]
     opens = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
     offsets = np.cumsum([0, *(len(t) + 1 for t in texts)])
     keep = ~space
     keep[1:] |= ~space[:-1]
-    data = np.where(space, np.uint8(SPACE), _LOWER[raw] if lower else raw)[keep]
+    data = np.where(space, np.uint8(SPACE), raw)[keep]
     ends = np.flatnonzero(data == SPACE)
     starts = np.concatenate(([0], ends[:-1] + 1)) if len(ends) else ends
     return Words(data, starts, ends, np.searchsorted(opens, offsets))
