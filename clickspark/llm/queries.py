@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pathlib
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickspark.llm import chat, language_id, line_dedup, quality_rules, simhash_dedup, toxicity
+from clickspark.llm import chat, language_id, line_dedup, quality_rules, simhash_dedup, token_files, toxicity, warc
+from clickspark.sources.shared import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +106,42 @@ from numbered group by conv_id
 """
 
 
+@_query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write_warc(warc.page_records(_table(spark, sf_dir, "pages")), path)
+    full = warc.read_warc(spark, path).where("record_type = 'response'")
+    bare = warc.read_warc(spark, path, payload="false").where("record_type = 'revisit'")
+    return (
+        full.withColumns({
+            "payload_length": F.octet_length("payload").cast("long"),
+            "payload_digest": F.sha1("payload"),
+        })
+        .unionByName(bare)
+        .select(
+            warc.page_of(F.col("record_id")).alias("page_id"),
+            F.col("payload_length").alias("payload_bytes"),
+            "payload_digest",
+            "record_type",
+            warc.page_of(F.col("refers_to")).alias("refers_to"),
+        )
+    )
+
+
+_SQL["op6_warc"] = r"""
+with payloads as (
+    select page_id, coalesce(html, '') as payload,
+        octet_length(encode(coalesce(html, ''))) as payload_bytes from pages
+), led as (
+    select *, max(page_id) over (partition by payload) as leader from payloads
+)
+select page_id, payload_bytes, sha1(payload) as payload_digest,
+    case when payload_bytes < 1000 or page_id = leader then 'response' else 'revisit' end as record_type,
+    case when payload_bytes >= 1000 and page_id <> leader then leader end as refers_to
+from led
+"""
+
+
 @_query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -172,3 +211,17 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     not (fails[1] or fails[2]) and (source is null or source not in (from rejected)) as kept
 from judged
 """
+
+
+@_query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = pathlib.Path(public_tokenizers.path("word_bpe_49k.json")).read_text()
+    files = token_files.write_tokens(
+        _table(spark, sf_dir, "documents"), shared_path(spark, "ids"), tokenizer, 49_408, end=1
+    )
+    return token_files.read_tokens(spark, files).select(
+        "doc_id",
+        "start",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )

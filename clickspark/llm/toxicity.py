@@ -188,7 +188,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             )
 
     kept = docs.select(*(F.col(f"`{c}`") for c in others))
-    schema = T.StructType([*kept.schema.fields]).add("score", "double").add("predicted", "int")
+    schema = T.StructType([*kept.schema.fields]).add("score", "double").add("predicted", T.IntegerType())
     return kept.mapInArrow(run, schema)
 
 
