@@ -9,11 +9,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickspark.llm import chat, language_id, line_dedup, quality_rules, simhash_dedup, token_files, toxicity, warc
+from clickspark.llm import (
+    chat,
+    decontamination,
+    language_id,
+    line_dedup,
+    quality_rules,
+    sentencepiece_codec,
+    simhash_dedup,
+    token_files,
+    toxicity,
+    warc,
+)
 from clickspark.sources.shared import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+PIECES = "piece_bpe_32k.model"
+
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
@@ -106,6 +119,49 @@ from numbered group by conv_id
 """
 
 
+@_query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = sentencepiece_codec.load(public_tokenizers.path(PIECES))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = sentencepiece_codec.encode(docs, pieces)
+    back = sentencepiece_codec.decode(ids, pieces)
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.xxhash64("ids").alias("ids_hash"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
+@_query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contained(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
+_SQL["op5_decontamination"] = r"""
+with texts as (
+    select 'd' as side, row_number() over () as r, doc_id as id, text from documents
+    union all select 'i', row_number() over (), item_id, text from benchmark
+), words as (
+    select side, r, id, list_filter(string_split_regex(lower(coalesce(text, '')),
+        '[\x09-\x0D\x20-/:-@\[-`{-~]+'), lambda x: x <> '') as w from texts
+), shingles as (
+    select distinct side, r, id, array_to_string(w[k:k + 4], ' ') as s
+    from (select side, r, id, w, unnest(range(1, len(w) - 3)) as k from words where len(w) > 4)
+), items as (
+    select r, id as item_id, s, count(*) over (partition by r) as shingles
+    from shingles where side = 'i'
+)
+select d.id as doc_id, item_id, shingles, count(*) as shared, count(*) / shingles as containment
+from items i join shingles d on d.side = 'd' and d.s = i.s
+group by d.r, d.id, i.r, item_id, shingles
+having count(*) >= ceil(0.8 * shingles - 1e-9)
+"""
+
+
 @_query
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "warc")
