@@ -21,6 +21,7 @@ from clickspark.llm.words import blocks
 MARK = "▁"
 _MARK = MARK.encode()
 _LONG = 96
+_ROWS = 256
 _UNKNOWN_PENALTY = 10.0
 
 
@@ -348,10 +349,13 @@ def decode(rows: DataFrame, pieces: Pieces, ids: str = "ids", text: str = "decod
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = kept(("codec", key), lambda: Codec(sent.value))
         for batch in batches:
-            found = [None if x is None else codec.decode(x) for x in batch.column(at_ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.string())], [*others, text]
-            )
+            for at in range(0, len(batch), _ROWS):
+                part = batch.slice(at, _ROWS)
+                lists = part.column(at_ids)
+                found = [codec.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in lists]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(found, pa.string())], [*others, text]
+                )
 
     kept_columns = rows.select(*(F.col(f"`{c}`") for c in others))
     schema = T.StructType([*kept_columns.schema.fields]).add(text, T.StringType())

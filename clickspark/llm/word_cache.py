@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-MOST = 1_000_000
+MOST = 400_000
 
 
 class WordCache:
