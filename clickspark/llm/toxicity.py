@@ -117,7 +117,8 @@ def fit(
     texts = docs.where(F.length(text) <= most_chars).select(
         F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")
     )
-    rows = texts.join(chosen, "doc_id").select("order", "doc_id", "label", "text")
+    # The sample has at most sample_rows ids, so texts need no shuffle to meet it.
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("order", "doc_id", "label", "text")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
