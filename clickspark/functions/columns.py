@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from clickspark.schema import NOT_IDENTIFIED, SESSION_PREFIX, SessionSpec
 
+_MOST_MS = 9_223_372_036_854_775  # a timestamp counts microseconds
+
 
 def seconds(ms: Column) -> Column:
     """Milliseconds as double seconds."""
@@ -14,8 +16,8 @@ def seconds(ms: Column) -> Column:
 
 
 def event_time(ms: Column) -> Column:
-    """Epoch milliseconds as a timestamp."""
-    return F.timestamp_millis(ms)
+    """Epoch milliseconds as a timestamp; null where no timestamp can hold them."""
+    return F.when(ms.between(-_MOST_MS, _MOST_MS), F.timestamp_millis(ms))
 
 
 def label(ref: Column) -> Column:
@@ -34,14 +36,15 @@ def session_id(ordinal: Column, user: Column) -> Column:
 
 
 def continues(ts: Column, previous: Column, gap_ms: int) -> Column:
-    """Whether an event carries on from the previous one. False if there is none."""
-    return F.coalesce((ts - previous) < F.lit(gap_ms), F.lit(False))
+    """Whether an event carries on from the previous one. False if there is none,
+    or if the two are further apart than a number can say."""
+    return F.coalesce(F.try_subtract(ts, previous) < F.lit(gap_ms), F.lit(False))
 
 
 def slot_start(ts: Column, width_ms: int) -> Column:
     """Start of the time slot a timestamp lies in. Whole-number arithmetic, so
     it is right for any clock value, also before 1970."""
-    return ts - F.pmod(ts, F.lit(width_ms).cast("long"))
+    return F.try_subtract(ts, F.pmod(ts, F.lit(width_ms).cast("long")))
 
 
 def dimension_rows(spec: SessionSpec) -> Column:

@@ -30,11 +30,14 @@ def user_timeline(df: DataFrame, user: str, spec: SessionSpec = SessionSpec()) -
     return df.where(F.col(spec.user) == F.lit(user)).orderBy(spec.ts, *spec.tiebreak)
 
 
-def _of_top(df: DataFrame, column: str) -> DataFrame:
-    """Rows of the most frequent value of ``column``."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).count()
-    top = counts.orderBy(F.desc("count"), F.asc(column)).limit(1).select(column)
-    return df.join(F.broadcast(top), column, "left_semi")  # one row
+def _of_top(df: DataFrame, column: str, scope: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of the most frequent value of ``column`` within a scope."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column, *scope).count()
+    top = counts.orderBy(F.desc("count"), column, *scope).limit(1).drop("count")
+    same = F.lit(True)
+    for c in (column, *scope):
+        same = same & df[c].eqNullSafe(top[c])
+    return df.join(F.broadcast(top), same, "left_semi")  # one row
 
 
 def busiest_user_timeline(df: DataFrame, spec: SessionSpec = SessionSpec()) -> DataFrame:
@@ -46,20 +49,22 @@ def one_session(sessionized: DataFrame, session: str) -> DataFrame:
     return sessionized.where(F.col("session_id") == F.lit(session))
 
 
-def busiest_session(sessionized: DataFrame) -> DataFrame:
+def busiest_session(sessionized: DataFrame, spec: SessionSpec = SessionSpec()) -> DataFrame:
     """Events of the session with most of them."""
-    return _of_top(sessionized, "session_id")
+    return _of_top(sessionized, "session_id", spec.scope)
 
 
-def distinct_gaps(sessionized: DataFrame) -> DataFrame:
-    return sessionized.select("session_id", "delta_seg").distinct()
+def distinct_gaps(sessionized: DataFrame, spec: SessionSpec = SessionSpec()) -> DataFrame:
+    return sessionized.select(*spec.scope, "session_id", "delta_seg").distinct()
 
 
-def gap_list_by_session(sessionized: DataFrame) -> DataFrame:
+def gap_list_by_session(
+    sessionized: DataFrame, spec: SessionSpec = SessionSpec()
+) -> DataFrame:
     """The different gaps of each session as a sorted array. Its length is
     bounded by the milliseconds of the inactivity limit."""
     return (
-        distinct_gaps(sessionized)
-        .groupBy("session_id")
+        distinct_gaps(sessionized, spec)
+        .groupBy(*spec.scope, "session_id")
         .agg(F.sort_array(F.collect_list("delta_seg")).alias("deltas"))
     )

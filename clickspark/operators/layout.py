@@ -43,13 +43,27 @@ def by_size(
     return df.join(chosen, same, "left_anti"), df.join(chosen, same, "left_semi")
 
 
+def fingerprint(df: DataFrame, spec: SessionSpec) -> Column:
+    """A hash of the columns that neither place nor order an event. Maps cannot
+    be hashed as they are, and go in as JSON."""
+    inherent = {*spec.keys, spec.ts, *spec.tiebreak}
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    rest = [
+        F.to_json(F.struct(c)) if "map<" in kinds[c] else F.col(c)
+        for c in df.columns
+        if c not in inherent
+    ]
+    return F.xxhash64(*rest) if rest else F.lit(0).cast("long")
+
+
 def repeated(df: DataFrame, times: str, index: str) -> DataFrame:
     """Each row ``times`` over, numbered from 0 in ``index``. Rows are first cut
     into portions which go to different tasks, so a large number is no burden."""
     portion = F.lit(ROWS_PER_PORTION).cast("long")
     begins = F.sequence(F.lit(0).cast("long"), F.col(times) - 1, portion)
     spread = df.withColumn("__from", F.explode(begins))
-    spread = spread.repartition(F.xxhash64(*spread.columns))
+    plain = [f.name for f in spread.schema if "map<" not in f.dataType.simpleString()]
+    spread = spread.repartition(F.xxhash64(*plain))
     last = F.least(F.col("__from") + portion, F.col(times)) - 1
     numbers = F.sequence(F.col("__from"), last)
     return spread.withColumn(index, F.explode(numbers)).drop("__from", times)

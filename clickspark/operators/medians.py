@@ -164,23 +164,28 @@ def approx_quantile_gap(
     return gaps.agg(value.alias("quantile"))
 
 
-def median_gap_by_session(sessionized: DataFrame) -> DataFrame:
-    """Approximate median of ``delta_seg`` per session id, start rows included."""
-    return sessionized.groupBy("session_id").agg(
+def median_gap_by_session(
+    sessionized: DataFrame, spec: SessionSpec = SessionSpec()
+) -> DataFrame:
+    """Approximate median of ``delta_seg`` per session, start rows included. Ids
+    repeat between scopes, so results carry the scope's columns too."""
+    return sessionized.groupBy(*spec.scope, "session_id").agg(
         approximate_median(F.col("delta_seg")).alias("median")
     )
 
 
-def median_distinct_gap_by_session(sessionized: DataFrame) -> DataFrame:
+def median_distinct_gap_by_session(
+    sessionized: DataFrame, spec: SessionSpec = SessionSpec()
+) -> DataFrame:
     """Median of the different gaps of each session, to two decimals, as float.
 
     Worked out in whole milliseconds. A session has at most as many different
     gaps as the inactivity limit has milliseconds.
     """
     ms = F.round(F.col("delta_seg") * 1000).cast("long")
-    gaps = sessionized.select("session_id", ms.alias("gap_ms")).distinct()
+    gaps = sessionized.select(*spec.scope, "session_id", ms.alias("gap_ms")).distinct()
     median = seconds(F.median("gap_ms"))
-    return gaps.groupBy("session_id").agg(
+    return gaps.groupBy(*spec.scope, "session_id").agg(
         (F.rint(median * 100) / F.lit(100.0)).cast("float").alias("median")
     )
 

@@ -57,8 +57,8 @@ def sessions_by_dim(
     return rows.groupBy(*by, "what", "ref").agg(_counted(spec))
 
 
-def half_event_count(sessionized: DataFrame) -> DataFrame:
+def half_event_count(sessionized: DataFrame, spec: SessionSpec = SessionSpec()) -> DataFrame:
     """Per session, half the number of its gaps: the position of the middle one."""
-    return sessionized.groupBy("session_id").agg(
+    return sessionized.groupBy(*spec.scope, "session_id").agg(
         (F.count("delta_seg") / F.lit(2)).alias("central")
     )

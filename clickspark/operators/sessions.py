@@ -12,7 +12,7 @@ from clickspark.functions.columns import (
     session_id,
     session_tag,
 )
-from clickspark.operators.layout import by_size
+from clickspark.operators.layout import by_size, fingerprint
 from clickspark.operators.ticks import marked_by_tick
 from clickspark.schema import SessionSpec
 
@@ -21,32 +21,34 @@ def _marked_by_user(df: DataFrame, spec: SessionSpec, numbered: bool) -> DataFra
     """Events with ``lag``, ``is_start`` and, if asked for, ``ordinal``.
 
     One shuffle by user serves every window: each partitions by the user or by
-    more. The running counts stand in for row number and forward fill: the last
+    more. Events of one key, moment and tiebreak go by a hash of their other
+    columns, as they do in ticks, so only copies are alike. The running counts stand in for row number and forward fill: the last
     session a user started by some time is as many as were started by then.
     """
     ts = F.col(spec.ts)
-    of_key = Window.partitionBy(*spec.keys).orderBy(spec.ts, *spec.tiebreak)
-    lagged = df.repartition(*spec.owner).withColumn("lag", F.lag(spec.ts).over(of_key))
+    of_key = Window.partitionBy(*spec.keys).orderBy(spec.ts, *spec.tiebreak, "__print")
+    placed = df.repartition(*spec.owner).withColumn("__print", fingerprint(df, spec))
+    lagged = placed.withColumn("lag", F.lag(spec.ts).over(of_key))
     marked = lagged.withColumn(
         "is_start", ~continues(ts, F.col("lag"), spec.gap_ms)
     )
     if not numbered:
-        return marked
+        return marked.drop("__print")
     started = F.col("is_start").cast("long")
     if spec.mode == "compat":
         # Ranges over the timestamp alone: events of one moment share the number.
         by_moment = Window.partitionBy(*spec.owner).orderBy(spec.ts)
-        return marked.withColumn("ordinal", F.sum(started).over(by_moment))
+        return marked.withColumn("ordinal", F.sum(started).over(by_moment)).drop("__print")
     in_order = (
         Window.partitionBy(*spec.owner)
-        .orderBy(spec.ts, *spec.tiebreak, *spec.dims)
+        .orderBy(spec.ts, *spec.tiebreak, "__print", *spec.dims)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     own = marked.withColumn("__own", F.sum(started).over(in_order))
     latest = F.max(F.when(F.col("is_start"), F.col("__own"))).over(
         of_key.rowsBetween(Window.unboundedPreceding, 0)
     )
-    return own.withColumn("ordinal", latest).drop("__own")
+    return own.withColumn("ordinal", latest).drop("__own", "__print")
 
 
 def marked(df: DataFrame, spec: SessionSpec, numbered: bool) -> DataFrame:
@@ -67,7 +69,7 @@ def session_gaps(df: DataFrame, spec: SessionSpec = SessionSpec()) -> DataFrame:
         marked(df, spec, numbered=False)
         .withColumns(
             {
-                "delta_seg": seconds(ts - F.col("lag")),
+                "delta_seg": seconds(F.try_subtract(ts, F.col("lag"))),
                 "same_section": ~F.col("is_start"),
                 "event_time": event_time(ts),
             }
@@ -78,7 +80,7 @@ def session_gaps(df: DataFrame, spec: SessionSpec = SessionSpec()) -> DataFrame:
 
 def _zero_at_start(spec: SessionSpec):
     return F.when(F.col("is_start"), F.lit(0.0)).otherwise(
-        seconds(F.col(spec.ts) - F.col("lag"))
+        seconds(F.try_subtract(F.col(spec.ts), F.col("lag")))
     )
 
 

@@ -31,7 +31,7 @@ def session_starts(df: DataFrame, spec: SessionSpec = SessionSpec()) -> DataFram
         F.stack(
             F.lit(2),
             slot, ts, nothing, F.lit(1),
-            slot + F.lit(spec.gap_ms).cast("long"), nothing, ts, F.lit(0),
+            F.try_add(slot, F.lit(spec.gap_ms).cast("long")), nothing, ts, F.lit(0),
         ).alias("__slot", "__own", "__before", "__here"),
     )
     slots = reports.groupBy(*spec.keys, "__slot").agg(
@@ -39,7 +39,7 @@ def session_starts(df: DataFrame, spec: SessionSpec = SessionSpec()) -> DataFram
         F.max("__before").alias("__previous"),
         F.sum("__here").alias("__events"),
     )
-    near = F.col("start_ts") - F.col("__previous") < F.lit(spec.gap_ms)
+    near = F.try_subtract("start_ts", "__previous") < F.lit(spec.gap_ms)
     starts = (
         F.when(F.col("__slot").isNull(), F.col("__events"))
         .when(F.coalesce(near, F.lit(False)), F.lit(0).cast("long"))

@@ -13,17 +13,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickspark.functions.columns import continues
-from clickspark.operators.layout import blocked_running, join_on_keys, repeated
+from clickspark.operators.layout import blocked_running, fingerprint, join_on_keys, repeated
 from clickspark.schema import SessionSpec
 from clickspark.sources.shared import materialize
 
 
 def _rank_of_row(df: DataFrame, spec: SessionSpec) -> Column:
     """Order among the events of one tick; equal only for copies of an event."""
-    inherent = {*spec.keys, spec.ts, *spec.tiebreak}
-    rest = [F.col(c) for c in df.columns if c not in inherent]
-    fingerprint = F.xxhash64(*rest) if rest else F.lit(0).cast("long")
-    return F.struct(*[F.col(c) for c in spec.tiebreak], fingerprint.alias("__print"))
+    return F.struct(*[F.col(c) for c in spec.tiebreak], fingerprint(df, spec).alias("__print"))
 
 
 def gap_ticks(df: DataFrame, spec: SessionSpec, ranked: bool = True) -> DataFrame:

@@ -16,7 +16,7 @@ from clickspark.operators import explore, folds, medians, metrics, sessions
 from clickspark.operators.starts import session_starts
 from clickspark.plans.questions import answer_questions, run
 from clickspark.schema import CLICK_SCHEMA, FILE_COLUMN, SessionSpec
-from clickspark.sources.clicks import read_saved
+from clickspark.sources.clicks import read_clicks, read_saved
 from clickspark.sources.events import event_clicks, stream_event_clicks
 from clickspark.sources.results import (
     nested_json,
@@ -24,7 +24,7 @@ from clickspark.sources.results import (
     save_events_json,
     write_question_files,
 )
-from clickspark.sources.shared import shared_path
+from clickspark.sources.shared import materialize, shared_path
 from clickspark.streaming.incremental import counts_of_batch, sketches_of_batch
 from clickspark.streaming.ledger import read_sessions, start_sessionizing
 from clickspark.streaming.sinks import run_available
@@ -71,7 +71,7 @@ def _click_files(spark: SparkSession, clicks: DataFrame) -> str:
     names = [f for f in CLICK_SCHEMA.fieldNames() if f in clicks.columns]
     (
         clicks.select(*names, F.col(FILE_COLUMN).alias("day"))
-        .repartition("day", F.pmod(F.xxhash64("anonymous_id"), F.lit(8)))
+        .repartition("day", "anonymous_id")
         .write.partitionBy("day")
         .option("compression", "gzip")
         .json(path)
@@ -359,15 +359,63 @@ def top_users(spark, clicks, sf_dir):
 
 @_query
 def user_timeline(spark, clicks, sf_dir):
+    """One user by id, which a first query finds."""
+    user = explore.top_users(clicks, 1).first()["anonymous_id"]
+    return explore.user_timeline(clicks, user)
+
+
+@_query
+def busiest_user_timeline(spark, clicks, sf_dir):
     return explore.busiest_user_timeline(clicks)
 
 
 @_query
 def one_session(spark, clicks, sf_dir):
+    """One session by id, which a first query finds."""
+    found = sessions.sessionize(clicks, SIX_HOURS)
+    session = explore.busiest_session(found).first()["session_id"]
+    return _shown(explore.one_session(found, session))
+
+
+@_query
+def busiest_session(spark, clicks, sf_dir):
     found = explore.busiest_session(sessions.sessionize(clicks, SIX_HOURS))
     return _shown(found)
 
 
+@_query
+def half_event_count_per_file(spark, clicks, sf_dir):
+    return metrics.half_event_count(sessions.sessionize(clicks, PER_FILE), PER_FILE)
+
+
+@_query
+def distinct_gaps_per_file(spark, clicks, sf_dir):
+    return explore.distinct_gaps(sessions.sessionize(clicks, PER_FILE), PER_FILE)
+
+
+@_query
+def mixed_json_numbers(spark, clicks, sf_dir):
+    """Clicks written as JSON in three number forms, a broken line for each
+    event that has none, read back: sessions and broken lines."""
+    ts = F.col("device_sent_timestamp")
+    form = F.pmod(F.xxhash64("anonymous_id", ts), F.lit(4))
+    number = (
+        F.when(form == 0, ts.cast("string"))
+        .when(form == 1, F.concat(ts.cast("string"), F.lit(".0")))
+        .otherwise(F.concat(F.lit('"'), ts.cast("string"), F.lit('"')))
+    )
+    names = [c for c in CLICK_SCHEMA.fieldNames() if c in clicks.columns and c != SIX_HOURS.ts]
+    rest = F.substr(F.to_json(F.struct(*names)), F.lit(2))
+    line = F.concat(F.lit('{"device_sent_timestamp":'), number, F.lit(","), rest)
+    path = shared_path(spark, "mixed-json")
+    lines = clicks.select(F.explode(F.array(line, F.lit('{"broken'))).alias("value"))
+    lines.write.text(path)
+    read = materialize(read_clicks(spark, path, by_file=False, corrupt="bad"), "mixed-read")
+    bad = read.where("bad is not null").agg(F.count(F.lit(1)).alias("bad_lines"))
+    total = metrics.sessions_total(_starts(read.where("bad is null").drop("bad")), SIX_HOURS)
+    return total.withColumn("bad_lines", bad.scalar())
+
+
 @_query
 def distinct_gaps(spark, clicks, sf_dir):
     return explore.distinct_gaps(sessions.sessionize(clicks, SIX_HOURS))

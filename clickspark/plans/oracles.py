@@ -196,6 +196,16 @@ def oracles() -> dict[str, str]:
             select anonymous_id from clicks group by 1 order by count(*) desc, 1 limit 1)""",
         "one_session": f"""{_6H} select {_SESSION_COLUMNS} from sess where session_id = (
             select session_id from sess group by 1 order by count(*) desc, 1 limit 1)""",
+        "busiest_user_timeline": f"""{_6H} select {_EVENT} from clicks where anonymous_id = (
+            select anonymous_id from clicks group by 1 order by count(*) desc, 1 limit 1)""",
+        "busiest_session": f"""{_6H} select {_SESSION_COLUMNS} from sess where session_id = (
+            select session_id from sess group by 1 order by count(*) desc, 1 limit 1)""",
+        "half_event_count_per_file": f"""{_6H_FILE} select file, session_id,
+            count(delta_seg) / 2 as central from sess group by file, session_id""",
+        "distinct_gaps_per_file": f"""{_6H_FILE}
+            select distinct file, session_id, delta_seg from sess""",
+        "mixed_json_numbers": f"""{_6H} select {_COUNT}, (select count(*) from clicks)
+            as bad_lines from sess where {_NEW}""",
         "distinct_gaps": f"{_6H} select distinct session_id, delta_seg from sess",
         "gap_list_by_session": f"""{_6H}, once as (
             select distinct session_id, cast(round(delta_seg * 1000) as bigint) as ms

@@ -56,7 +56,7 @@ def run(
     spec: SessionSpec = SessionSpec(),
     by_file: bool = True,
     median: str = "all",
-    full_path: bool = False,
+    full_path: bool = True,
 ) -> Answers:
     """Read JSON click files and answer the questions.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,20 +14,49 @@ def read_clicks(
     path: str | list[str],
     by_file: bool = True,
     schema: T.StructType = CLICK_SCHEMA,
-    full_path: bool = False,
+    full_path: bool = True,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """JSON lines, gzipped or not, as a table of clicks.
 
-    The schema is given, so there is no inference pass over the files. Lines
-    that do not parse become rows of nulls, as permissive reading has it.
-    ``by_file`` adds the file name as a column; take ``full_path`` where names
-    repeat between folders.
+    The schema is given, so there is no inference pass over the files. Whole
+    numbers may be written as such, with decimals or in quotes; what is none is
+    null. Lines that do not parse become rows of nulls, as permissive reading has
+    it, and are kept in the column ``corrupt`` if it is named. ``by_file`` adds
+    the path of the file as a column, or its name alone without ``full_path``,
+    if names do not repeat between folders.
     """
-    clicks = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
-    if not by_file:
-        return clicks
-    source = "_metadata.file_path" if full_path else "_metadata.file_name"
-    return clicks.select("*", F.col(source).alias(FILE_COLUMN))
+    reader = spark.read.schema(_as_text(schema, corrupt)).option("mode", "PERMISSIVE")
+    if corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    clicks = reader.json(path)
+    columns = [*_numbers(schema), *([F.col(corrupt)] if corrupt else [])]
+    if by_file:
+        columns.append(_source(full_path))
+    return clicks.select(*columns)
+
+
+def _as_text(schema: T.StructType, corrupt: str | None = None) -> T.StructType:
+    """``schema`` with whole numbers as they stand in the file."""
+    fields = [
+        T.StructField(f.name, T.StringType() if f.dataType == T.LongType() else f.dataType)
+        for f in schema.fields
+    ]
+    return T.StructType(fields + ([T.StructField(corrupt, T.StringType())] if corrupt else []))
+
+
+def _numbers(schema: T.StructType) -> list[Column]:
+    """The columns of ``schema``, numbers read from their text."""
+    return [
+        F.expr(f"try_cast(try_cast(`{f.name}` as decimal(38,9)) as bigint)").alias(f.name)
+        if f.dataType == T.LongType()
+        else F.col(f"`{f.name}`")
+        for f in schema.fields
+    ]
+
+
+def _source(full_path: bool) -> Column:
+    return F.col("_metadata.file_path" if full_path else "_metadata.file_name").alias(FILE_COLUMN)
 
 
 def stream_clicks(
@@ -36,16 +65,15 @@ def stream_clicks(
     by_file: bool = True,
     schema: T.StructType = CLICK_SCHEMA,
     files_per_batch: int = 1,
+    full_path: bool = True,
 ) -> DataFrame:
     """The same files as a stream, in arrival order."""
     clicks = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(_as_text(schema))
         .option("maxFilesPerTrigger", files_per_batch)
         .json(path)
     )
-    if not by_file:
-        return clicks
-    return clicks.select("*", F.col("_metadata.file_name").alias(FILE_COLUMN))
+    return clicks.select(*_numbers(schema), *([_source(full_path)] if by_file else []))
 
 
 def read_saved(

@@ -208,14 +208,17 @@ def test_application(spark, tmp_path):
     assert read.where("device_sent_timestamp is null").count() == 1
     q1, q2, q3 = cs.run(spark, str(source))
     # The line that is no JSON is an event of nobody: reported, not counted.
-    assert {r.file: r.qtd_session for r in q1.collect()} == {
-        "part-00000.json.gz": 3, "part-00001.json.gz": 3, "part-00002.json.gz": 0,
-    }
+    counted = {"part-00000.json.gz": 3, "part-00001.json.gz": 3, "part-00002.json.gz": 0}
+    by_path = {r.file: r.qtd_session for r in q1.collect()}
+    assert all(path.startswith("file:/") for path in by_path)
+    assert {path.rsplit("/", 1)[1]: n for path, n in by_path.items()} == counted
+    short = cs.run(spark, str(source), full_path=False)[0]
+    assert {r.file: r.qtd_session for r in short.collect()} == counted
     expected = {what: dict(refs) for what, refs in COUNTS.items()}
     expected["os_family"]["Not Identified"] = expected["browser_family"]["Not Identified"] = 0
     assert nested(q2, "qtd_session") == expected
     assert nested(q3, "median") == MEDIANS
-    cs.write_question_files((q1, q2, q3), str(out))
+    cs.write_question_files((short, q2, q3), str(out))
     docs = []
     for number in (1, 2, 3):
         (part,) = (out / f"question{number}.json").glob("part-*")
@@ -258,3 +261,54 @@ def test_exploration(hand):
     assert {r.session_id for r in cs.busiest_session(sess).collect()} == {"session_1_u1"}
     gaps = Counter(tuple(r) for r in cs.distinct_gaps(sess).collect())
     assert gaps[("session_1_u1", 0.0)] == 1 and gaps[("session_1_u1", 300.0)] == 1
+
+
+def test_numbers_in_other_forms_and_broken_lines(spark, tmp_path):
+    lines = [
+        '{"anonymous_id":"u","device_sent_timestamp":1577836800000}',
+        '{"anonymous_id":"u","device_sent_timestamp":1577836860000.0}',
+        '{"anonymous_id":"u","device_sent_timestamp":"1577836920000"}',
+        "{broken",
+    ]
+    (tmp_path / "in.json").write_text("\n".join(lines))
+    read = cs.read_clicks(spark, str(tmp_path), corrupt="bad").cache()
+    assert [r.bad for r in read.where("bad is not null").collect()] == ["{broken"]
+    good = read.where("bad is null")
+    assert cs.sessions_total(cs.session_starts(good)).first()[0] == 1
+
+
+def test_clock_values_out_of_range(spark):
+    top = 2**63 - 1
+    times = [1577836800000000000, top, -top, 1577836800000]
+    df = clicks(spark, [click("u", "d", "o", "b", t, n) for n, t in enumerate(times)])
+    got = {r.n: r for r in cs.sessionize(df).collect()}
+    assert [got[n].event_time is None for n in range(4)] == [True, True, True, False]
+    assert not any(r.same_section for r in got.values())
+    assert cs.sessions_total(cs.session_starts(df)).first()[0] == 4
+
+
+def test_measures_per_session_keep_files_apart(spark):
+    spec = cs.SessionSpec(mode="strict", scope=("file",))
+    rows = [click("u", "d", "o", "b", T0 + k * MINUTE, k) for k in range(3)]
+    df = clicks(spark, rows[:2]).withColumn("file", F.lit("a"))
+    df = df.unionByName(clicks(spark, rows).withColumn("file", F.lit("b")))
+    found = cs.sessionize(df, spec)
+    half = {r.file: r.central for r in cs.half_event_count(found, spec).collect()}
+    assert half == {"a": 1.0, "b": 1.5}
+    assert cs.busiest_session(found, spec).count() == 3
+    assert cs.gap_list_by_session(found, spec).count() == 2
+
+
+def test_ties_get_the_same_ids_in_every_layout(spark):
+    rows = [
+        click("u", d, "o", "b", T0, 1, event=e)
+        for d, e in (("d1", "y"), ("d2", "x"), ("d1", "z"), ("d3", "y"), ("d3", "y"))
+    ]
+    df = clicks(spark, rows).withColumn("map", F.create_map(F.lit("k"), F.col("event")))
+    shown = []
+    for layout in ("user", "ticks", "auto"):
+        for frame in (df, df.orderBy(F.desc("device_family"), F.desc("event"))):
+            spec = cs.SessionSpec(mode="strict", layout=layout, max_group_rows=1)
+            got = cs.sessionize(frame, spec).collect()
+            shown.append(sorted((r.device_family, r.event, r.session_id, r.same_section) for r in got))
+    assert all(s == shown[0] for s in shown)
