@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickspark.llm.names import unused
 from clickspark.sources.shared import materialize
 
 WHITE = r"[\x20\x09-\x0D]+"
@@ -23,6 +24,7 @@ RULES = {
 }
 BASE_RULES = ("short", "repeats")
 
+VERDICTS = ("base_failed", "kept")
 METRICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
@@ -33,11 +35,12 @@ def with_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
     ``word_chars``: code points in words; ``n_symbols``: characters of
     ``#*$%&|<>``; ``n_lines``: lines with a word; ``n_dup_lines``: those equal
     to an earlier one; ``n_repeat_words``: words in windows of three words that
-    the text has more than once, the first included.
+    the text has more than once, the first included. Columns of these names are
+    replaced.
     """
-    inner = "__text", "__words", "__lines", "__hashes", "__shift", "__marked", "__at"
+    inner = unused(docs.columns, "text", "words", "lines", "hashes", "shift", "marked", "at")
     text_, words, lines, hashes, shift, marked, at = map(F.col, inner)
-    rest = [F.col(f"`{c}`") for c in docs.columns]
+    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in METRICS]
     split = docs.select(*rest, F.coalesce(F.col(text).cast("string"), F.lit("")).alias(inner[0]))
     split = split.select(
         "*",
@@ -189,21 +192,22 @@ def judge(
     Rows that repeat are counted and judged each. The broadcast has one row per
     rule; verdicts are joined by host, and only of hosts that fail.
     """
-    others = [c for c in docs.columns if c != text and c not in METRICS]
+    others = [c for c in docs.columns if c != text and c.lower() not in (*METRICS, *VERDICTS)]
     metrics = with_metrics(docs.select(text, *others), text).select(*others, *METRICS)
     metrics = materialize(metrics, "metrics")
+    its_host, rejected = unused(metrics.columns, "host", "rejected")
     failing = (
         host_rates(metrics, host, rules)
         .where(F.col("rate") > most)
-        .select(F.col("host").alias("__host"))
+        .select(F.col("host").alias(its_host))
         .distinct()
-        .withColumn("__rejected", F.lit(True))
+        .withColumn(rejected, F.lit(True))
     )
     base_failed = F.expr(" or ".join(f"({rules[r]})" for r in base))
-    joined = metrics.join(failing, metrics[host] == failing["__host"], "left")
+    joined = metrics.join(failing, metrics[host] == failing[its_host], "left")
     return joined.select(
         *others,
         *METRICS,
         base_failed.alias("base_failed"),
-        (~base_failed & F.col("__rejected").isNull()).alias("kept"),
+        (~base_failed & F.col(rejected).isNull()).alias("kept"),
     )

@@ -11,12 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickspark.llm.components import linked_places
+from clickspark.llm.names import unused
 from clickspark.llm.words import LOWER, blocks, hash_spans, split_words
 from clickspark.sources.shared import materialize
 
 BYTES = 8
 _ROWS = 1 << 15
-_TURN = "__turn"
 
 
 def fingerprints(texts: list[bytes], size: int = 4) -> np.ndarray:
@@ -126,13 +126,14 @@ def keep_one(
     stays. Rows without an id stay only if no document of their group has one;
     they too are reduced to one row.
     """
+    (turn,) = unused(docs.columns, "turn")
     found = near_duplicates(docs, doc_id, text, size, bits)
     chosen = found.where("doc_id <=> component_id").select("doc_id").distinct()
     chosen = chosen.withColumnRenamed("doc_id", doc_id)
     same = docs[doc_id].eqNullSafe(chosen[doc_id])
     first = Window.partitionBy(doc_id).orderBy(F.col(text).asc_nulls_last())
-    numbered = docs.join(chosen, same, "left_semi").withColumn(_TURN, F.row_number().over(first))
-    return numbered.where(F.col(_TURN) == 1).select(*docs.columns)
+    numbered = docs.join(chosen, same, "left_semi").withColumn(turn, F.row_number().over(first))
+    return numbered.where(F.col(turn) == 1).select(*docs.columns)
 
 
 def hex_digits(fp: str = "fp") -> Column:

@@ -320,7 +320,8 @@ def test_toxic_words_are_learnt(spark):
         words = draw.choices(plain, k=60)
         toxic = i % 3 == 0
         if toxic:
-            words[draw.randrange(60)] = draw.choice(["Nasty,", "vile"])
+            for _ in range(3):
+                words[draw.randrange(60)] = draw.choice(["Nasty,", "vile"])
         rows.append((i, " ".join(words)))
         marks.append((i, int(toxic)))
     docs = frame(spark, rows + ODD)
