@@ -60,7 +60,9 @@ def main() -> None:
         once(name)
         seconds[name] = round(statistics.median(once(name) for _ in range(runs)), 4)
     events = queries["event_count"](spark, sf_dir).first()[0]
-    starts = queries["sessions_total"](spark, sf_dir).first()[0]
+    # Sessions under the limit that sessions_by_dim is timed with, each once.
+    by_dim = queries["sessions_by_dim"](spark, sf_dir).where("what = 'device_family'")
+    starts = by_dim.groupBy().sum("qtd_session").first()[0] or 0
     counted = seconds.get("sessions_by_dim")
     print(
         json.dumps(
