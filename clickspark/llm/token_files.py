@@ -32,6 +32,8 @@ _KIND[48:58] = 2
 _KIND[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "'|"]] = 3
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
@@ -138,7 +140,9 @@ class Encoder:
     punctuation mark, so ids of a text are those of its pieces at white space
     and between such ASCII characters ("'" and "|" apart, as contractions and
     special tokens are found across them). New words are encoded many in a
-    string, a control character between them.
+    string, a control character between them. Words are lower-cased, so that
+    fewer differ, but not those with a "|": special tokens are matched on the
+    text as it is written.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -171,7 +175,8 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and how many each text has."""
-        raw = _LOWER[np.frombuffer(b"\n".join([*texts, b""]), np.uint8)]
+        raw = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+        raw = np.where(_barred(raw), raw, _LOWER[raw])
         kind = _KIND[raw]
         cut = (kind[:-1] != kind[1:]) & (kind[:-1] > 0) & (kind[1:] > 0)
         cuts = np.flatnonzero(cut) + 1
@@ -183,6 +188,17 @@ class Encoder:
         )
 
 
+def _barred(raw: np.ndarray) -> np.ndarray:
+    """Which bytes belong to a run without white space that has a "|"."""
+    bars = np.flatnonzero(raw == ord("|"))
+    if not len(bars):
+        return np.zeros(len(raw), bool)
+    run = np.cumsum(_SPACE[raw], dtype=np.int64)
+    has = np.zeros(int(run[-1]) + 1, bool)
+    has[run[bars]] = True
+    return has[run]
+
+
 def with_end(ids: np.ndarray, sizes: np.ndarray, end: int | None) -> tuple[np.ndarray, np.ndarray]:
     if end is None:
         return ids, sizes

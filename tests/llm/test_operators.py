@@ -422,6 +422,22 @@ def test_token_files_against_the_library(spark, texts, vocabulary):
             assert (reader.ids(a, min(b, len(every))) == every[a:b]).all()
 
 
+def test_special_tokens_in_any_case():
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("word_bpe_49k.json")) as source:
+        file = source.read()
+    library, encoder = Tokenizer.from_str(file), token_files.Encoder(file)
+    assert encoder.encode([b"<|EndOfText|>"])[0].tolist() == [27, 347, 40786, 4160, 91, 285]
+    draw = random.Random(8)
+    parts = ["<|EndOfText|>", "<|endoftext|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "<|startoftext|>",
+             "A|B", "Ab", "cD9", "'S", "É", " ", "\n", "<", "|", ">", "EndOfText", "\x01", "\x1c"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 12))) for _ in range(3000)]
+    ids, sizes = encoder.encode([t.encode() for t in texts])
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
+
+
 def test_words_and_their_hashes():
     words = split_words([b"A,b  C\n", b"", b" x" * 50 + b"y" * 900], BARE)
     found = [bytes(words.data[s:e]) for s, e in zip(words.starts, words.ends)]
