@@ -7,11 +7,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickspark.llm.components import linked_places
-from clickspark.llm.names import unused
+from clickspark.llm.keepers import keep_first, turn
 from clickspark.llm.words import LOWER, blocks, hash_spans, split_words
 from clickspark.sources.shared import materialize
 
@@ -47,17 +47,23 @@ def with_fingerprints(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 4
 ) -> DataFrame:
     """``doc_id`` and its fingerprint ``fp`` (the 64 bits as a signed long)."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string"))
+    return _printed(rows, size)
+
+
+def _printed(rows: DataFrame, size: int) -> DataFrame:
+    """The first column of ``rows``, and ``fp`` of the text in the second."""
+    name, kind = rows.columns[0], rows.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, to, texts in blocks(batch.column(1)):
                 found = pa.array(fingerprints(texts, size).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, to - at), found], ["doc_id", "fp"]
+                    [batch.column(0).slice(at, to - at), found], [name, "fp"]
                 )
 
-    rows = docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, f"{name} {kind}, fp long")
 
 
 def close_fingerprints(prints: DataFrame, bits: int = 4) -> DataFrame:
@@ -120,20 +126,17 @@ def near_duplicates(
 def keep_one(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 4, bits: int = 4
 ) -> DataFrame:
-    """``docs`` with one document of each group: the one of the smallest id.
+    """``docs`` with one row of each group of linked texts.
 
-    Rows that repeat that id are one document; the row whose text comes first
-    stays. Rows without an id stay only if no document of their group has one;
-    they too are reduced to one row.
+    Groups are of texts: rows without an id, and rows that repeat one, belong
+    to the groups of their own texts. Of a group the row of the smallest id
+    stays (nulls last); of several, the one whose text begins lowest (its first
+    characters, then a hash). Rows alike in id and text are one.
     """
-    (turn,) = unused(docs.columns, "turn")
-    found = near_duplicates(docs, doc_id, text, size, bits)
-    chosen = found.where("doc_id <=> component_id").select("doc_id").distinct()
-    chosen = chosen.withColumnRenamed("doc_id", doc_id)
-    same = docs[doc_id].eqNullSafe(chosen[doc_id])
-    first = Window.partitionBy(doc_id).orderBy(F.col(text).asc_nulls_last())
-    numbered = docs.join(chosen, same, "left_semi").withColumn(turn, F.row_number().over(first))
-    return numbered.where(F.col(turn) == 1).select(*docs.columns)
+    rows = docs.select(turn(doc_id, text).alias("at"), F.col(text).cast("string"))
+    turns = materialize(_printed(rows, size), "prints").withColumnRenamed("fp", "node")
+    distinct = materialize(turns.select("node").distinct(), "distinct")
+    return keep_first(docs, turns, close_fingerprints(distinct, bits), doc_id, text)
 
 
 def hex_digits(fp: str = "fp") -> Column:

@@ -120,6 +120,17 @@ def test_one_document_of_a_group_stays(spark):
     assert simhash_dedup.keep_one(docs.limit(0)).count() == 0
 
 
+def test_rows_without_an_id_or_with_a_repeated_one_stay(spark):
+    rows = [
+        (2, "p q r s t"), (5, "P q r s t"), (5, "all by itself it is"),
+        (None, "one two three four"), (None, "five six seven eight"), (None, "p q r s t"),
+        (7, "u v w x"), (7, "k l m n o"), (None, None), (None, "u v w x"), (7, "u v w x"),
+    ]
+    want = [rows[0], *rows[2:5], *rows[6:9]]
+    kept = simhash_dedup.keep_one(frame(spark, rows)).collect()
+    assert sorted(map(repr, map(tuple, kept))) == sorted(map(repr, want))
+
+
 # Chats
 
 
