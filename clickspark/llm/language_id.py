@@ -23,12 +23,14 @@ _BATCH = 128
 
 @dataclass(frozen=True)
 class Model:
-    """``letters`` maps code points to 0..63. ``column`` numbers the n-grams of
-    the landmarks (-1: none has it), ``weights`` has a row for each of them and
-    a column per language. Its size is bounded by the landmarks'."""
+    """``letters`` maps code points to 0..63, ``seen`` says which the sample has.
+    ``column`` numbers the n-grams of the landmarks (-1: none has it),
+    ``weights`` has a row for each of them and a column per language. Its size
+    is bounded by the landmarks'."""
 
     languages: list[str]
     letters: np.ndarray
+    seen: np.ndarray
     column: np.ndarray
     weights: np.ndarray
 
@@ -85,6 +87,8 @@ def fit_sample(texts: list[str], labels: list[str], landmarks: int, ridge: float
     """
     languages = sorted(set(labels))
     letters = _alphabet(texts)
+    spelt = np.zeros(len(letters), bool)
+    spelt[[ord(c) for c in set().union(*(t.lower() for t in texts))]] = True
     grams = Grams(letters)
     found = [grams.of(t) for t in texts]
     seen: Counter = Counter()
@@ -97,7 +101,7 @@ def fit_sample(texts: list[str], labels: list[str], landmarks: int, ridge: float
     column = np.full(Grams.size, -1, np.int32)
     column[used] = np.arange(len(used), dtype=np.int32)
     if not chosen:
-        return Model([], letters, column, np.zeros((0, 0), np.float32))
+        return Model([], letters, spelt, column, np.zeros((0, 0), np.float32))
 
     def presence(rows: list[int]) -> np.ndarray:
         matrix = np.zeros((len(rows), len(used)), np.float32)
@@ -119,7 +123,20 @@ def fit_sample(texts: list[str], labels: list[str], landmarks: int, ridge: float
     share = np.array([1 / each[x] for x in labels])[:, None]
     bent = features.T @ (share * features) + ridge * np.eye(features.shape[1])
     inner = np.linalg.solve(bent, features.T @ (share * targets))
-    return Model(languages, letters, column, (marks.T @ (root @ inner)).astype(np.float32))
+    return Model(languages, letters, spelt, column, (marks.T @ (root @ inner)).astype(np.float32))
+
+
+def _sample(docs, text, lang, doc_id, sample_rows, most_languages, most_chars):
+    known = docs.where(
+        F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & F.length(text).between(1, most_chars)
+    ).select(
+        F.col(doc_id).alias("doc_id"),
+        F.col(lang).cast("string").alias("lang"),
+        F.col(text).cast("string").alias("text"),
+    )
+    n = known.select("lang").distinct().limit(most_languages).count()
+    sample = bounded_sample(known, "lang", "doc_id", sample_rows // max(1, n), most_languages)
+    return sorted(sample.select("order", "doc_id", "lang", "text").collect())
 
 
 def fit(
@@ -139,16 +156,7 @@ def fit(
     language (of the ``most_languages`` commonest), of whole texts of up to
     ``most_chars`` characters. The sample goes to the driver.
     """
-    known = docs.where(
-        F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & F.length(text).between(1, most_chars)
-    ).select(
-        F.col(doc_id).alias("doc_id"),
-        F.col(lang).cast("string").alias("lang"),
-        F.col(text).cast("string").alias("text"),
-    )
-    n = known.select("lang").distinct().limit(most_languages).count()
-    sample = bounded_sample(known, "lang", "doc_id", sample_rows // max(1, n), most_languages)
-    rows = sorted(sample.select("order", "doc_id", "lang", "text").collect())
+    rows = _sample(docs, text, lang, doc_id, sample_rows, most_languages, most_chars)
     return fit_sample([r["text"] for r in rows], [r["lang"] for r in rows], landmarks, ridge)
 
 
@@ -201,6 +209,65 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return kept.mapInArrow(run, schema)
 
 
+def strangeness(model: Model, texts: list[str | None]) -> np.ndarray:
+    """How foreign each text is to the model: the share of its different n-grams
+    that no landmark has, or of its letters that the sample does not have if
+    that is more. Of a share the lower end of its Wilson interval (3 standard
+    deviations) is given, so that few n-grams prove little. 1 for null texts,
+    those without a letter, and all texts if the model is empty."""
+    grams = Grams(model.letters)
+    found = np.ones(len(texts))
+    for i, text in enumerate(texts):
+        if model.languages and text is not None and any(map(str.isalpha, text)):
+            every = grams.of(text)
+            points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+            points = points[model.letters[points] > 0]
+            new = _at_least((model.column[every] < 0).sum(), len(every))
+            found[i] = max(new, _at_least((~model.seen[points]).sum(), len(points)))
+    return found
+
+
+def _at_least(count: int, n: int, z: float = 3.0) -> float:
+    if n == 0:
+        return 0.0
+    share, extra = count / n, z * z / n
+    spread = z * np.sqrt(share * (1 - share) / n + extra / n / 4)
+    return max(0.0, (share + extra / 2 - spread) / (1 + extra))
+
+
+def fit_limit(
+    model: Model,
+    docs: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    doc_id: str = "doc_id",
+    sample_rows: int = 2048,
+    most_languages: int = 64,
+    most_chars: int = 20_000,
+    margin: float = 0.1,
+) -> float:
+    """The strangeness above which a text is in none of the model's languages:
+    ``margin`` more than 0.999 of a bounded sample of ``docs`` have, which are
+    to be rows that the model was not fitted to."""
+    rows = _sample(docs, text, lang, doc_id, sample_rows, most_languages, most_chars)
+    rows = [r["text"] for r in rows if r["lang"] in model.languages and any(map(str.isalpha, r["text"]))]
+    most = float(np.quantile(strangeness(model, rows), 0.999)) if rows else 0.0
+    return min(most + margin, 0.99)  # texts without a letter are never in a language
+
+
+def in_languages(docs: DataFrame, model: Model, limit: float, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is no stranger to the model than ``limit``."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).cast(pa.large_string()).to_pylist()
+            yield batch.filter(pa.array(strangeness(sent.value, texts) <= limit))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows that a model is tested on, not fitted to."""
     return F.coalesce(remainder(doc_id, 4) == 2, F.lit(False))
