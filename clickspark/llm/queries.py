@@ -51,7 +51,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_query
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup_lines(docs, removed="n_removed")
+    return line_dedup.dedup_lines(docs, removed="n_removed", exact_words=1)
 
 
 @_query
