@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import pathlib
 from collections.abc import Callable
 
@@ -12,16 +13,19 @@ from pyspark.sql import functions as F
 from clickspark.llm import (
     chat,
     decontamination,
+    html_text,
     language_id,
     line_dedup,
+    prefix_trie,
     quality_rules,
     sentencepiece_codec,
     simhash_dedup,
     token_files,
     toxicity,
     warc,
+    whitening,
 )
-from clickspark.sources.shared import shared_path
+from clickspark.sources.shared import materialize, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -281,3 +285,49 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
     )
+
+
+@_query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = whitening.usable(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    whole = F.transform("embedding", lambda c: F.floor(1024 * c.cast("double")) + 100_000)
+    vectors = vectors.select("vec_id", whole.alias("x"))
+    m = whitening.moments(vectors, "x")
+    vectors = vectors.withColumn("deviation", whitening.deviation("x", m))
+    found = whitening.whiten(vectors, m, "x", components=8)
+    found = dataclasses.replace(found, rows=materialize(found.rows, "whitened"))
+    explained = F.array(*(F.lit(float(e) / found.trace) for e in found.values)).cast("array<double>")
+    error = whitening.identity_error(found)
+    each = found.rows.select(
+        "vec_id", "deviation", F.posexplode(F.arrays_zip("whitened", explained.alias("explained")))
+    )
+    return each.select(
+        "vec_id",
+        (F.col("pos") + 1).cast("int").alias("component"),
+        F.lit(m.n).cast("long").alias("n"),
+        "deviation",
+        "col.whitened",
+        "col.explained",
+        F.lit(error).alias("identity_error"),
+    )
+
+
+@_query
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@_query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = materialize(prefix_trie.conversations(_table(spark, sf_dir, "conversations")), "own")
+    c = F.col("conv_id")
+    begun = own.where(c % 20 == 0).select(c.alias("from"), F.slice("turns", 1, 3).alias("opening"))
+    rebuilt = own.withColumns({
+        "from": c - c % 20,
+        "h": F.pmod(F.crc32(c.cast("string").cast("binary")), F.lit(4)).cast("int"),
+    }).join(begun, "from", "left")
+    none = F.slice("turns", 1, 0)
+    opening = F.slice(F.coalesce("opening", none), F.lit(1), F.col("h"))
+    rest = F.slice("turns", F.col("h") + 1, F.size("turns"))
+    return prefix_trie.trie(rebuilt.select("conv_id", F.concat(opening, rest).alias("turns")))
