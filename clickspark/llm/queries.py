@@ -318,6 +318,23 @@ def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
 
 
+#: The outline of the sample pages, where the article is an element and no tag is in quotes.
+_SQL["op12_html_extraction"] = r"""
+with articles as (
+    select page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)(</article>|$)', 1, 's') as inner
+    from pages
+), parts as (
+    select page_id, url, list_transform(string_split_regex(inner, '</?(p|h1)>'), lambda x:
+        trim(regexp_replace(replace(replace(replace(replace(regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g'),
+            '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))) as part
+    from articles
+), texts as (
+    select page_id, url, array_to_string(list_filter(part, lambda x: x <> ''), chr(10) || chr(10)) as text from parts
+)
+select page_id, url, text, length(text) as n_chars from texts
+"""
+
+
 @_query
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = materialize(prefix_trie.conversations(_table(spark, sf_dir, "conversations")), "own")
@@ -331,3 +348,52 @@ def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     opening = F.slice(F.coalesce("opening", none), F.lit(1), F.col("h"))
     rest = F.slice("turns", F.col("h") + 1, F.size("turns"))
     return prefix_trie.trie(rebuilt.select("conv_id", F.concat(opening, rest).alias("turns")))
+
+
+_SQL["op13_conversation_trie"] = r"""
+with bits as (
+    select k, list_reduce([cast(k as bigint)] || range(8), lambda c, i:
+        xor(c >> 1, (c & 1) * 3988292384)) as word from range(256) t(k)
+), crc as (
+    select list(word order by k) as of from bits
+), own as (
+    select conv_id as c, role, text, row_number() over (partition by conv_id order by turn nulls first, sha) as k
+    from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+        sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as sha
+        from conversations where conv_id is not null)
+), ids as (
+    select c, c - c % 20 as base, (xor(list_reduce([4294967295] || list_transform(
+        split(cast(c as varchar), ''), lambda x: cast(ascii(x) as bigint)),
+        lambda h, b: xor(h >> 8, crc.of[1 + xor(h & 255, b)])), 4294967295)) % 4 as h
+    from (select distinct c from own), crc
+), turns as (
+    select ids.c, 0 as late, own.k, role, text from ids join own on own.c = base and own.k <= h
+    union all select ids.c, 1, own.k, role, text from ids join own on own.c = ids.c and own.k > h
+), numbered as (
+    select c, role, text, row_number() over (partition by c order by late, k) as d from turns
+), prefixes as (
+    select c, d, list(sha256(length(role) || ':' || role || text)) over (partition by c order by d) as path,
+        len(list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) as words
+    from numbered
+    union all select c, 0, [], 0 from ids
+), lengths as (
+    select c, max(d) as n from prefixes group by c
+), nodes as (
+    select path, d, min(prefixes.c) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(words) as saved,
+        sha256(coalesce(string_agg(cast(prefixes.c as varchar), ',' order by prefixes.c) filter (d = n), '')) as ends_sha256
+    from prefixes join lengths on lengths.c = prefixes.c group by path, d
+), kids as (
+    select path[:len(path) - 1] as path, count(*) as n from nodes where d > 0 group by 1
+), sums as (
+    select path[:up] as path, sum(saved) as saved, sum(leaf) as leaves
+    from (select nodes.path, nodes.saved, cast(kids.n is null as int) as leaf, unnest(range(nodes.d + 1)) as up
+        from nodes left join kids on kids.path = nodes.path)
+    group by 1
+)
+select nodes.conv_id, nodes.d as depth, above.conv_id as parent_conv_id, nodes.n_convs,
+    coalesce(kids.n, 0) as n_children, cast(sums.leaves as bigint) as n_leaves,
+    cast(sums.saved as bigint) as saved_tokens, nodes.ends_sha256
+from nodes join sums on sums.path = nodes.path
+left join kids on kids.path = nodes.path
+left join nodes above on nodes.d > 0 and above.path = nodes.path[:nodes.d - 1]
+"""
