@@ -321,12 +321,13 @@ def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The outline of the sample pages, where the article is an element and no tag is in quotes.
 _SQL["op12_html_extraction"] = r"""
 with articles as (
-    select page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)(</article>|$)', 1, 's') as inner
+    select page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)(</article>|$)', 1, 's') as article
     from pages
 ), parts as (
-    select page_id, url, list_transform(string_split_regex(inner, '</?(p|h1)>'), lambda x:
-        trim(regexp_replace(replace(replace(replace(replace(regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g'),
-            '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))) as part
+    select page_id, url, list_transform(string_split_regex(article, '</?(p|h1)>'), lambda x:
+        trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+            regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g'),
+            '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) as part
     from articles
 ), texts as (
     select page_id, url, array_to_string(list_filter(part, lambda x: x <> ''), chr(10) || chr(10)) as text from parts
