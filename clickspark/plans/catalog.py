@@ -11,13 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickspark.functions.columns import label
+from clickspark.functions.columns import label, slot_start
 from clickspark.operators import explore, folds, medians, metrics, sessions
 from clickspark.operators.starts import session_starts
 from clickspark.plans.questions import answer_questions, run
 from clickspark.schema import CLICK_SCHEMA, FILE_COLUMN, SessionSpec
 from clickspark.sources.clicks import read_clicks, read_saved
-from clickspark.sources.events import event_clicks, stream_event_clicks
+from clickspark.sources.events import event_clicks, replayed, stream_event_clicks
 from clickspark.sources.results import (
     nested_json,
     nested_json_by,
@@ -25,11 +25,11 @@ from clickspark.sources.results import (
     write_question_files,
 )
 from clickspark.sources.shared import materialize, shared_path
+from clickspark.streaming.event_time import read_aside, read_released, start_event_time
 from clickspark.streaming.incremental import counts_of_batch, sketches_of_batch
 from clickspark.streaming.ledger import read_sessions, start_sessionizing
-from clickspark.streaming.sinks import run_available
-from clickspark.streaming.stateful import stream_sessionize
-from clickspark.streaming.windows import stream_session_windows
+from clickspark.streaming.sinks import run_available, start_batches
+from clickspark.streaming.windows import all_windows, stream_session_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -453,30 +453,67 @@ _register_answer("answer_3_fold", 2, "fold")
 # Streams
 
 
+HOUR_MS = 60 * 60 * 1000
+DAY_MS = 24 * HOUR_MS
+
+
+def _by_day(clicks: DataFrame) -> DataFrame:
+    """The days, which stand for files, as they arrive: several a batch, each in one."""
+    return replayed(clicks, slot_start(F.col(SIX_HOURS.ts), DAY_MS), 3)
+
+
+def _disordered(clicks: DataFrame) -> DataFrame:
+    """Clicks as they arrive up to 36 hours after their time, every eleventh six days."""
+    delay = F.when(F.col("n") % 11 == 0, 6 * DAY_MS).otherwise(F.col("n") % 7 * 6 * HOUR_MS)
+    return replayed(clicks, F.col(SIX_HOURS.ts) + delay, 4)
+
+
 @_query
 def stream_counts(spark, clicks, sf_dir):
-    arrived = stream_event_clicks(spark, sf_dir)
-    parts = run_available(spark, arrived, "stream-counts", counts_of_batch(PER_FILE))
+    parts = run_available(spark, _by_day(clicks), "stream-counts", counts_of_batch(PER_FILE))
     return folds.fold_counts(parts)
 
 
 @_query
 def stream_median(spark, clicks, sf_dir):
-    arrived = stream_event_clicks(spark, sf_dir)
-    parts = run_available(spark, arrived, "stream-sketches", sketches_of_batch(PER_FILE))
+    sketches = sketches_of_batch(PER_FILE)
+    parts = run_available(spark, _by_day(clicks), "stream-sketches", sketches)
     return folds.merge_sketches(parts)
 
 
 @_query
 def stream_session_window(spark, clicks, sf_dir):
-    windows = stream_session_windows(stream_event_clicks(spark, sf_dir), SIX_HOURS)
-    return run_available(spark, windows, "stream-windows", output_mode="complete")
+    """Sessions as they end, and those that are open at the end of the stream."""
+    base = shared_path(spark, "stream-windows")
+    windows = stream_session_windows(_disordered(clicks), SIX_HOURS, "8 days")
+    start_batches(windows, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return all_windows(spark, f"{base}/out", f"{base}/checkpoint", SIX_HOURS)
+
+
+def _in_event_time(spark: SparkSession, clicks: DataFrame, spec: SessionSpec) -> str:
+    base = shared_path(spark, "stream-event-time")
+    start_event_time(
+        _disordered(clicks), f"{base}/out", f"{base}/checkpoint", spec, "2 days", DAY_MS, parts=4
+    ).awaitTermination()
+    return f"{base}/out"
 
 
 @_query
 def stream_session_ids(spark, clicks, sf_dir):
-    marked = stream_sessionize(stream_event_clicks(spark, sf_dir), STRICT)
-    return _shown(run_available(spark, marked, "stream-sessions"))
+    """Sessions of events that the watermark has passed, from a stream out of order."""
+    return _shown(read_released(spark, _in_event_time(spark, clicks, STRICT)))
+
+
+@_query
+def stream_session_ids_compat(spark, clicks, sf_dir):
+    return _shown(read_released(spark, _in_event_time(spark, clicks, SIX_HOURS)))
+
+
+@_query
+def stream_late_rows(spark, clicks, sf_dir):
+    """Events that came after the watermark had passed their time, and with which batch."""
+    aside = read_aside(spark, _in_event_time(spark, clicks, STRICT))
+    return aside.withColumn("batch", F.col("batch").cast("long"))
 
 
 @_query

@@ -16,8 +16,33 @@ _EVENT = (
 _TIME = "strftime(make_timestamp(device_sent_timestamp * 1000), '%Y-%m-%d %H:%M:%S.%g')"
 
 
-def _with(gap_ms: int, mode: str = "compat", per_file: bool = False) -> str:
-    """CTEs: ``clicks``, ``gaps`` and the sessionized ``sess``."""
+#: Clicks on time (``ontime``) of a stream in four batches by time of arrival, judged by
+#: the latest time of the batches before, less two days.
+_STREAM = """
+), fed as (
+  select *, device_sent_timestamp
+      + case when n % 11 = 0 then 518400000 else n % 7 * 21600000 end as arrived from clicks
+), bounds as (
+  select min(arrived) as low, max(arrived) as high from fed
+), parts as (
+  select fed.*, (arrived - low) * 4 // (high - low + 1) as batch from fed, bounds
+), marks as (
+  select batch, max(max(device_sent_timestamp)) over (
+      order by batch rows between unbounded preceding and 1 preceding) - 172800000 as mark
+  from parts group by batch
+), judged as (
+  select parts.*, device_sent_timestamp < coalesce(mark, 0) as late from parts join marks using (batch)
+), ontime as (
+  select * from judged where not late
+"""
+_PASSED = """device_sent_timestamp - device_sent_timestamp % 86400000 + 86400000
+    <= (select max(device_sent_timestamp) - 172800000 from clicks)"""
+
+
+def _with(
+    gap_ms: int, mode: str = "compat", per_file: bool = False, more: str = "", source: str = "clicks"
+) -> str:
+    """CTEs: ``clicks``, ``more``, ``gaps`` and the sessionized ``sess`` of ``source``."""
     scope = "file, " if per_file else ""
     owner = f"{scope}anonymous_id"
     fill = owner if mode == "compat" else f"{owner}, {_DIMS}"
@@ -32,10 +57,10 @@ with raw as (
          event_id as n, 'os_' || (user_id % 3) as os_family,
          strftime(ts, '%Y-%m-%d') as file
   from raw
-), lagged as (
+{more}), lagged as (
   select *, lag(device_sent_timestamp) over (
            partition by {owner}, {_DIMS} order by device_sent_timestamp, n) as lag
-  from clicks
+  from {source}
 ), gaps as (
   select *, cast(device_sent_timestamp - lag as double) / 1000 as raw_delta,
          coalesce(device_sent_timestamp - lag < {gap_ms}, false) as same_section,
@@ -76,6 +101,9 @@ _30M = _with(HALF_HOUR_MS)
 _6H_STRICT = _with(SIX_HOURS_MS, "strict")
 _6H_FILE = _with(SIX_HOURS_MS, per_file=True)
 
+_6H_STREAM = _with(SIX_HOURS_MS, "strict", more=_STREAM, source="ontime")
+_6H_STREAM_COMPAT = _with(SIX_HOURS_MS, more=_STREAM, source="ontime")
+
 _BY_DIM_6H = f"{_6H} {_each_dim(_COUNT, 'sess', where=_NEW)}"
 _BY_DIM_FILE = f"""{_6H_FILE}, parts as ({_each_dim(_COUNT, 'sess', 'file,', _NEW)})
     select what, ref, cast(sum(qtd_session) as bigint) as qtd_session
@@ -224,7 +252,11 @@ def oracles() -> dict[str, str]:
             cast(max(device_sent_timestamp) - min(device_sent_timestamp) as double) / 1000
               as duration
             from sess group by anonymous_id, {_DIMS}, session_id""",
-        "stream_session_ids": f"{_6H_STRICT} select {_SESSION_COLUMNS} from sess",
+        "stream_session_ids": f"{_6H_STREAM} select {_SESSION_COLUMNS} from sess where {_PASSED}",
+        "stream_session_ids_compat": f"""{_6H_STREAM_COMPAT} select {_SESSION_COLUMNS}
+            from sess where {_PASSED}""",
+        "stream_late_rows": f"""{_6H_STREAM} select {_EVENT}, 'late' as reason, batch
+            from judged where late""",
         "stream_session_ledger": f"{_6H_STRICT} select {_SESSION_COLUMNS} from sess",
         "labelled_devices": f"""{_6H} select ltrim(coalesce(device_family,
             'Not Identified')) as ref, count(*) as events from clicks group by 1""",

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickspark.schema import FILE_COLUMN
+from clickspark.sources.shared import shared_path
 
 EVENTS_SCHEMA = T.StructType(
     [
@@ -54,3 +55,21 @@ def stream_event_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
         .option("maxFilesPerTrigger", 1)
         .parquet(sf_dir)
     )
+
+
+def replayed(clicks: DataFrame, arrived: Column, parts: int) -> DataFrame:
+    """``clicks`` as a stream of ``parts`` files, one a micro-batch, in the order of the
+    whole number ``arrived``: its range is cut into parts of equal width. For replaying
+    samples: a part is written as one file, so that it is one batch."""
+    spark, path = clicks.sparkSession, shared_path(clicks.sparkSession, "replayed")
+    timed = clicks.withColumn("__arrived", arrived)
+    low, high = timed.agg(F.min("__arrived"), F.max("__arrived")).first()
+    if low is None:
+        clicks.write.parquet(path)
+    else:
+        share = (F.col("__arrived") - F.lit(low)) * parts
+        at = F.floor(share / F.lit(high - low + 1)).cast("int")
+        for part in range(parts):  # one after the other, as files are taken by their age
+            timed.where(at == part).drop("__arrived").coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(clicks.schema).option("maxFilesPerTrigger", 1)
+    return stream.parquet(path)

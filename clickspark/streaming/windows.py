@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections import Counter
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQueryListener
 
 from clickspark.functions.columns import event_time, seconds
 from clickspark.schema import SessionSpec
+from clickspark.streaming.sinks import read_batches
 
 
 def stream_session_windows(
@@ -19,7 +22,9 @@ def stream_session_windows(
 
     Spark's session window takes in an event exactly one gap after the last;
     here it begins a new session, hence one millisecond less. In append mode a
-    session comes out once the watermark has passed its end.
+    session comes out once the watermark has passed its end, and leaves the state;
+    ``all_windows`` adds those that are open when the stream stops. Complete mode
+    would keep every session for ever.
     """
     if spec.gap_ms < 2:
         raise ValueError("session windows need a gap of at least 2 ms")
@@ -38,10 +43,47 @@ def stream_session_windows(
     )
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the watermark has dropped, over the progress reports still kept."""
-    return sum(
-        operator.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+def open_windows(
+    spark: SparkSession, checkpoint: str, spec: SessionSpec = SessionSpec()
+) -> DataFrame:
+    """Sessions that an append-mode query of ``stream_session_windows`` still keeps, as
+    they stand after its last batch: read out of the state store, in the columns of
+    the output. Nothing of the query has to run."""
+    state = spark.read.format("statestore").option("path", checkpoint).load()
+    # The window, the keys, and then the aggregates in the order of the query.
+    names = [f.name for f in state.schema["value"].dataType][1:]
+    kept = dict(zip([*spec.keys, "start_ts", "end_ts", "events"], names))
+    columns = [F.col(f"value.`{name}`").alias(c) for c, name in kept.items()]
+    span = F.col("end_ts") - F.col("start_ts")
+    return state.select(*columns).withColumn("duration", seconds(span))
+
+
+def all_windows(
+    spark: SparkSession, out: str, checkpoint: str, spec: SessionSpec = SessionSpec()
+) -> DataFrame:
+    """Every session of a stopped append-mode query: those written when the watermark
+    passed them, none of them ever rewritten, and those still open."""
+    return read_batches(spark, out).unionByName(open_windows(spark, checkpoint, spec))
+
+
+class DroppedRows(StreamingQueryListener):
+    """Rows that a watermark made Spark drop, by query id, over all batches since
+    ``spark.streams.addListener``: progress reports that a query no longer keeps
+    are in it. Session windows are merged within a task first, and count as one row
+    then; ``event_time.read_aside`` has the events themselves."""
+
+    def __init__(self) -> None:
+        self.rows: Counter[str] = Counter()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        for operator in event.progress.stateOperators:
+            self.rows[str(event.progress.id)] += operator.numRowsDroppedByWatermark
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
