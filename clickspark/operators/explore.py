@@ -45,8 +45,13 @@ def busiest_user_timeline(df: DataFrame, spec: SessionSpec = SessionSpec()) -> D
     return _of_top(df, spec.user).orderBy(spec.ts, *spec.tiebreak)
 
 
-def one_session(sessionized: DataFrame, session: str) -> DataFrame:
-    return sessionized.where(F.col("session_id") == F.lit(session))
+def one_session(sessionized: DataFrame, session: str, **scope) -> DataFrame:
+    """Events of a session by its id. Ids repeat between scopes: name the value of
+    each of the scope's columns, ``None`` for null (``one_session(df, id, file="a")``)."""
+    found = F.col("session_id") == F.lit(session)
+    for column, value in scope.items():
+        found = found & F.col(column).eqNullSafe(F.lit(value))
+    return sessionized.where(found)
 
 
 def busiest_session(sessionized: DataFrame, spec: SessionSpec = SessionSpec()) -> DataFrame:
@@ -59,12 +64,17 @@ def distinct_gaps(sessionized: DataFrame, spec: SessionSpec = SessionSpec()) ->
 
 
 def gap_list_by_session(
-    sessionized: DataFrame, spec: SessionSpec = SessionSpec()
+    sessionized: DataFrame, spec: SessionSpec = SessionSpec(), portion_ms: int = 2_000_000
 ) -> DataFrame:
-    """The different gaps of each session as a sorted array. Its length is
-    bounded by the milliseconds of the inactivity limit."""
+    """The different gaps of each session as sorted arrays, in portions: portion ``k``
+    has the gaps from ``k * portion_ms`` milliseconds to the next, so that no array
+    holds more than ``portion_ms`` values, whatever the session or the limit. One
+    after the other, a session's portions are its list; empty ones are left out."""
+    ms = F.round(F.col("delta_seg") * 1000).cast("long")
+    portion = F.floor(ms / F.lit(portion_ms)).cast("long")
     return (
         distinct_gaps(sessionized, spec)
-        .groupBy(*spec.scope, "session_id")
+        .groupBy(*spec.scope, "session_id", portion.alias("portion"))
         .agg(F.sort_array(F.collect_list("delta_seg")).alias("deltas"))
+        .select(*spec.scope, "session_id", "deltas", "portion")
     )

@@ -45,10 +45,11 @@ def by_size(
 
 def fingerprint(df: DataFrame, spec: SessionSpec) -> Column:
     """A hash of the columns that neither place nor order an event. Maps cannot
-    be hashed as they are, and go in as JSON."""
+    be hashed as they are, and go in as JSON, their entries in order."""
     inherent = {*spec.keys, spec.ts, *spec.tiebreak}
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     rest = [
+        _in_order(c) if kinds[c].startswith("map<") else
         F.to_json(F.struct(c)) if "map<" in kinds[c] else F.col(c)
         for c in df.columns
         if c not in inherent
@@ -56,6 +57,13 @@ def fingerprint(df: DataFrame, spec: SessionSpec) -> Column:
     return F.xxhash64(*rest) if rest else F.lit(0).cast("long")
 
 
+def _in_order(column: str) -> Column:
+    entries = F.transform(
+        F.map_entries(column), lambda e: F.to_json(F.struct(e["key"].alias("k"), e["value"].alias("v")))
+    )
+    return F.to_json(F.struct(F.array_sort(entries).alias(column)))
+
+
 def repeated(df: DataFrame, times: str, index: str) -> DataFrame:
     """Each row ``times`` over, numbered from 0 in ``index``. Rows are first cut
     into portions which go to different tasks, so a large number is no burden."""
@@ -84,6 +92,34 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def numbered_in_order(
+    df: DataFrame, keys: list[str], order: list[str], weight: str, out: str
+) -> DataFrame:
+    """``out``: the total ``weight`` of the rows of the same keys that come before in
+    ``order``, for keys of any number of rows.
+
+    Rows are sorted over ranges, which cut up a large key. A group holds what one key
+    has in one range; what it has in the ranges before is one number for each.
+    """
+    sort = [*keys, *order]
+    ranged = df.repartitionByRange(*sort).withColumn("__range", F.spark_partition_id())
+    ranged = materialize(ranged, "ranges")
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(*keys, "__range").agg(F.sum(weight).alias("__sum"))
+    none = F.lit(0).cast("long")
+    offsets = sums.select(
+        *keys, "__range", F.coalesce(F.sum("__sum").over(before), none).alias("__before")
+    )
+    within = Window.partitionBy(*keys, "__range").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    placed = ranged.withColumn("__within", F.coalesce(F.sum(weight).over(within), none))
+    joined = join_on_keys(placed, offsets, [*keys, "__range"])
+    return joined.withColumn(out, F.col("__before") + F.col("__within")).drop(
+        "__before", "__within", "__range"
+    )
+
+
 def blocked_running(
     df: DataFrame,
     keys: list[str],

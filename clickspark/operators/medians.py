@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -157,11 +159,38 @@ def approx_quantile_gap(
     fraction: float = 0.5,
     relative_error: float = 0.25,
 ) -> DataFrame:
-    """One row: a quantile of all continuation gaps within a rank error."""
-    gaps = one_row_per_event(continuation_gaps(df, spec))
-    accuracy = max(1, round(1 / relative_error))
-    value = F.percentile_approx(seconds(F.col("gap_ms")), fraction, accuracy)
-    return gaps.agg(value.alias("quantile"))
+    """One row: a ``quantile`` of all continuation gaps, and what is proven of it.
+
+    ``rank_from`` and ``rank_to`` are the positions (from 1, of ``gaps`` in ascending
+    order) that a sketch of ``relative_error`` may take the value from: those within
+    the error of the exact one. ``least_rank`` and ``most_rank`` are the positions
+    that the value really has, counted in a second pass over the gaps, so ``proven``
+    (the two intervals meet) does not rest on the sketch. Without gaps: nulls and 0.
+    """
+    gaps = continuation_gaps(df, spec)
+    accuracy = max(1, math.ceil(1 / relative_error))
+    value = F.percentile_approx("gap_ms", fraction, accuracy)
+    sketched = one_row_per_event(gaps).agg(value.alias("quantile_ms"))
+    weight = lambda of: F.coalesce(F.sum(F.when(of, F.col("events"))), F.lit(0).cast("long"))
+    gap, at = F.col("gap_ms"), sketched.scalar()
+    counted = gaps.agg(
+        F.max(at).alias("quantile_ms"),
+        weight(F.lit(True)).alias("gaps"),
+        (weight(gap < at) + 1).alias("least_rank"),
+        weight(gap <= at).alias("most_rank"),
+    )
+    exact, error = F.ceil(F.col("gaps") * fraction), F.floor(F.col("gaps") / F.lit(accuracy))
+    bounded = counted.withColumns(
+        {
+            "rank_from": F.greatest(exact - error, F.lit(1)).cast("long"),
+            "rank_to": F.least(exact + error, F.col("gaps")).cast("long"),
+        }
+    )
+    meet = (F.col("least_rank") <= F.col("rank_to")) & (F.col("most_rank") >= F.col("rank_from"))
+    return bounded.select(
+        seconds(F.col("quantile_ms")).alias("quantile"), "gaps", "rank_from", "rank_to", "least_rank", "most_rank",
+        meet.alias("proven"),
+    )
 
 
 def median_gap_by_session(
@@ -179,15 +208,15 @@ def median_distinct_gap_by_session(
 ) -> DataFrame:
     """Median of the different gaps of each session, to two decimals, as float.
 
-    Worked out in whole milliseconds. A session has at most as many different
-    gaps as the inactivity limit has milliseconds.
+    Worked out in whole milliseconds, with positions counted in blocks of them: no
+    task holds the gaps of a session (all users without an id are one).
     """
     ms = F.round(F.col("delta_seg") * 1000).cast("long")
-    gaps = sessionized.select(*spec.scope, "session_id", ms.alias("gap_ms")).distinct()
-    median = seconds(F.median("gap_ms"))
-    return gaps.groupBy(*spec.scope, "session_id").agg(
-        (F.rint(median * 100) / F.lit(100.0)).cast("float").alias("median")
-    )
+    groups = [*spec.scope, "session_id"]
+    gaps = sessionized.select(*groups, ms.alias("gap_ms")).distinct().withColumn("one", F.lit(1))
+    found = median_of_counts(gaps, groups, "gap_ms", "one", between=True)
+    rounded = F.rint(seconds(F.col("median")) * 100) / F.lit(100.0)
+    return found.withColumn("median", rounded.cast("float"))
 
 
 def session_durations(

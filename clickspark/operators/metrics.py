@@ -33,10 +33,18 @@ def sessions_total(starts: DataFrame, spec: SessionSpec = SessionSpec()) -> Data
 def sessions_per_file(
     starts: DataFrame, spec: SessionSpec = SessionSpec(), file: str = FILE_COLUMN
 ) -> DataFrame:
-    """Rows ``(file, qtd_session)``."""
+    """Rows ``(file, qtd_session)``, for files with events."""
     return starts.groupBy(file).agg(_counted(spec))
 
 
+def with_empty_files(counts: DataFrame, files: DataFrame, file: str = FILE_COLUMN) -> DataFrame:
+    """``counts`` per file with a line of 0 for each of ``files`` (``input_files``) that
+    has none. Lines for other files stay."""
+    none = files.select(file, F.lit(0).cast("long").alias("qtd_session"))
+    both = counts.select(file, "qtd_session").unionByName(none)
+    return both.groupBy(file).agg(F.sum("qtd_session").alias("qtd_session"))
+
+
 def sessions_by(
     starts: DataFrame, dim: str, spec: SessionSpec = SessionSpec(), labelled: bool = False
 ) -> DataFrame:

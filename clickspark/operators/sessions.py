@@ -22,12 +22,14 @@ def _marked_by_user(df: DataFrame, spec: SessionSpec, numbered: bool) -> DataFra
 
     One shuffle by user serves every window: each partitions by the user or by
     more. Events of one key, moment and tiebreak go by a hash of their other
-    columns, as they do in ticks, so only copies are alike. The running counts stand in for row number and forward fill: the last
-    session a user started by some time is as many as were started by then.
+    columns, as they do in ticks, so only copies are alike. The running counts
+    stand in for row number and forward fill: the last session a user started by
+    some time is as many as were started by then.
     """
     ts = F.col(spec.ts)
     of_key = Window.partitionBy(*spec.keys).orderBy(spec.ts, *spec.tiebreak, "__print")
-    placed = df.repartition(*spec.owner).withColumn("__print", fingerprint(df, spec))
+    # Hashed before the shuffle, which so takes no column that is only hashed.
+    placed = df.withColumn("__print", fingerprint(df, spec)).repartition(*spec.owner)
     lagged = placed.withColumn("lag", F.lag(spec.ts).over(of_key))
     marked = lagged.withColumn(
         "is_start", ~continues(ts, F.col("lag"), spec.gap_ms)

@@ -13,7 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickspark.functions.columns import continues
-from clickspark.operators.layout import blocked_running, fingerprint, join_on_keys, repeated
+from clickspark.operators.layout import (
+    blocked_running,
+    fingerprint,
+    join_on_keys,
+    numbered_in_order,
+    repeated,
+)
 from clickspark.schema import SessionSpec
 from clickspark.sources.shared import materialize
 
@@ -88,9 +94,14 @@ def marked_by_tick(df: DataFrame, spec: SessionSpec, numbered: bool) -> DataFram
     """Events with ``lag``, ``is_start`` and, if asked for, ``ordinal``."""
     ticks = numbered_ticks(df, spec) if numbered else gap_ticks(df, spec)
     ticks = materialize(ticks, "marks")
+    ts = F.col(spec.ts)
+    if numbered and spec.mode == "strict":
+        # Each event without a timestamp has a session of its own, so also a number.
+        untimed, df = df.where(ts.isNull()), df.where(ts.isNotNull())
+    else:
+        untimed = None
     events = df.withColumn("__rank", _rank_of_row(df, spec))
     placed = join_on_keys(events, ticks, [*spec.keys, spec.ts])
-    ts = F.col(spec.ts)
     is_lead = F.col("__rank") == F.col("first_rank")
     # Where there is no timestamp every event is a start, and none is special.
     open_case = (F.col("copies") > 1) & is_lead & ts.isNotNull()
@@ -99,6 +110,24 @@ def marked_by_tick(df: DataFrame, spec: SessionSpec, numbered: bool) -> DataFram
     both = settled.unionByName(spread)
     first_lag = F.when(F.col("__first") | ts.isNull(), F.col("lag")).otherwise(ts)
     is_start = ts.isNull() | (F.col("__first") & (F.col("starts") > 0))
-    return both.withColumns({"lag": first_lag, "is_start": is_start}).drop(
+    marked = both.withColumns({"lag": first_lag, "is_start": is_start}).drop(
         "__rank", "__first", "first_rank", "copies", "starts"
     )
+    return marked if untimed is None else marked.unionByName(_untimed(untimed, spec))
+
+
+def _untimed(df: DataFrame, spec: SessionSpec) -> DataFrame:
+    """Events without a timestamp, numbered before all others of their user, in order
+    of tiebreak, other columns and dimensions, as in the user layout. Copies are
+    counted, and given back with a number each."""
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__times"))
+    counted = counted.withColumn("__print", fingerprint(df, spec))
+    order = [*spec.tiebreak, "__print", *spec.dims]
+    placed = numbered_in_order(counted, spec.owner, order, "__times", "__ahead")
+    each = repeated(placed, "__times", "__i")
+    return each.select(
+        *df.columns,
+        F.lit(None).cast("long").alias("lag"),
+        F.lit(True).alias("is_start"),
+        (F.col("__ahead") + F.col("__i") + 1).alias("ordinal"),
+    )

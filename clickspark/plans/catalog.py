@@ -16,8 +16,13 @@ from clickspark.operators import explore, folds, medians, metrics, sessions
 from clickspark.operators.starts import session_starts
 from clickspark.plans.questions import answer_questions, run
 from clickspark.schema import CLICK_SCHEMA, FILE_COLUMN, SessionSpec
-from clickspark.sources.clicks import read_clicks, read_saved
-from clickspark.sources.events import event_clicks, replayed, stream_event_clicks
+from clickspark.sources.clicks import read_clicks, read_saved, stream_clicks
+from clickspark.sources.events import (
+    event_clicks,
+    replayed,
+    stream_event_clicks,
+    written_in_order,
+)
 from clickspark.sources.results import (
     nested_json,
     nested_json_by,
@@ -28,7 +33,15 @@ from clickspark.sources.shared import materialize, shared_path
 from clickspark.streaming.event_time import read_aside, read_released, start_event_time
 from clickspark.streaming.incremental import counts_of_batch, sketches_of_batch
 from clickspark.streaming.ledger import read_sessions, start_sessionizing
-from clickspark.streaming.sinks import run_available, start_batches
+from clickspark.streaming.sinks import (
+    compact,
+    read_batches,
+    read_quarantine,
+    read_results,
+    run_available,
+    start_batches,
+    start_quarantined,
+)
 from clickspark.streaming.windows import all_windows, stream_session_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,17 +119,21 @@ def json_round_trip(spark, clicks, sf_dir):
 
 @_query
 def application_run(spark, clicks, sf_dir):
-    """The application on gzipped JSON files, read as one stretch of time:
-    sessions per dimension value."""
+    """The application on gzipped JSON files, read as one stretch of time: sessions in
+    all, sessions per dimension value and median gaps."""
     path = _click_files(spark, clicks)
-    _, by_dim, _ = run(spark, path, SIX_HOURS, by_file=False)
-    return by_dim
+    whole, by_dim, gaps = run(spark, path, SIX_HOURS, by_file=False, median="exact")
+    whole = whole.select(F.lit("all").alias("what"), F.col(FILE_COLUMN).alias("ref"), "qtd_session")
+    return whole.unionByName(by_dim).join(gaps, ["what", "ref"], "left")
 
 
 @_query
 def application_run_per_file(spark, clicks, sf_dir):
-    """The application with each file by itself: sessions per day of files."""
+    """The application with each file by itself: sessions per day of files, of a day
+    without events too."""
     path = _click_files(spark, clicks)
+    # A file with a line but no event in it.
+    spark.createDataFrame([("",)], "value string").write.text(f"{path}/day=2000-01-01")
     per_file, _, _ = run(spark, path, SIX_HOURS, full_path=True)
     day = F.regexp_extract(FILE_COLUMN, "day=([0-9-]+)/", 1)
     return per_file.groupBy(day.alias("day")).agg(
@@ -306,20 +323,10 @@ def median_kll(spark, clicks, sf_dir):
 
 @_query
 def approx_quantile_gap(spark, clicks, sf_dir):
-    return medians.approx_quantile_gap(clicks, SIX_HOURS)
-
-
-@_query
-def approx_quantile_within_error(spark, clicks, sf_dir):
-    """Whether the rank of the approximate quantile is within its error."""
-    gaps = medians.continuation_gaps(clicks, SIX_HOURS)
-    value = medians.approx_quantile_gap(clicks, SIX_HOURS).scalar()
-    gap = F.col("gap_ms") / F.lit(1000.0)
-    below = F.sum(F.when(gap < value, F.col("events")).otherwise(0))
-    upto = F.sum(F.when(gap <= value, F.col("events")).otherwise(0))
-    total = F.sum("events")
-    within = (below <= total * 0.75) & (upto >= total * 0.25)
-    return gaps.agg(total.alias("gaps"), within.alias("within_error"))
+    """The ranks that the approximate quantile is proven to lie between. The value
+    itself may be any of those, and is left out here."""
+    found = medians.approx_quantile_gap(clicks, SIX_HOURS)
+    return found.select("gaps", "rank_from", "rank_to", "proven")
 
 
 @_query
@@ -425,7 +432,7 @@ def distinct_gaps(spark, clicks, sf_dir):
 def gap_list_by_session(spark, clicks, sf_dir):
     lists = explore.gap_list_by_session(sessions.sessionize(clicks, SIX_HOURS))
     as_ms = F.transform("deltas", lambda d: F.round(d * 1000).cast("long").cast("string"))
-    return lists.select("session_id", F.array_join(as_ms, ",").alias("deltas_ms"))
+    return lists.select("session_id", "portion", F.array_join(as_ms, ",").alias("deltas_ms"))
 
 
 @_query
@@ -481,6 +488,48 @@ def stream_median(spark, clicks, sf_dir):
     return folds.merge_sketches(parts)
 
 
+@_query
+def stream_counts_compacted(spark, clicks, sf_dir):
+    """The counts after all batches but the last are merged into one part."""
+    base = shared_path(spark, "stream-compacted")
+    query = start_batches(
+        _by_day(clicks), f"{base}/out", f"{base}/checkpoint", counts_of_batch(PER_FILE)
+    )
+    query.awaitTermination()
+    compact(spark, f"{base}/out", keep=1)
+    return folds.fold_counts(read_batches(spark, f"{base}/out"))
+
+
+@_query
+def stream_quarantine(spark, clicks, sf_dir):
+    """JSON lines in several files, a broken one for every fifth event: sessions of the
+    good lines, and the broken lines of each batch."""
+    names = [c for c in CLICK_SCHEMA.fieldNames() if c in clicks.columns]
+    good = F.to_json(F.struct(*names))
+    # A line may end in the middle of any value.
+    broken = F.when(F.col("n") % 5 == 0, F.concat(F.lit('{"n":'), F.col("n").cast("string")))
+    lines = clicks.select(F.col(SIX_HOURS.ts), F.explode(F.array(good, broken)).alias("value"))
+    lines = lines.where("value is not null")
+    kept = lines.select("value", F.col(SIX_HOURS.ts).alias("at"))
+    path = written_in_order(kept, F.col("at"), 3, "text", ["value"])
+    stream = stream_clicks(spark, path, corrupt="line")
+    base = shared_path(spark, "stream-quarantine")
+    start_quarantined(stream, f"{base}/out", f"{base}/checkpoint", "line").awaitTermination()
+    sessions_of = _starts(read_results(spark, f"{base}/out").drop(FILE_COLUMN))
+    bad = read_quarantine(spark, f"{base}/out", ["line", FILE_COLUMN])
+    bad = bad.groupBy("batch").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.substring("line", 6, 20).cast("long")).alias("of"),
+    )
+    total = metrics.sessions_total(sessions_of, SIX_HOURS)
+    counted = total.select(F.lit("sessions").alias("kind"), F.lit(0).cast("long").alias("of"), "qtd_session")
+    shown = bad.select(
+        F.concat(F.lit("broken in "), F.col("batch").cast("string")).alias("kind"), "of",
+        F.col("rows").alias("qtd_session"),
+    )
+    return counted.unionByName(shown)
+
+
 @_query
 def stream_session_window(spark, clicks, sf_dir):
     """Sessions as they end, and those that are open at the end of the stream."""

@@ -137,9 +137,13 @@ def oracles() -> dict[str, str]:
         "json_round_trip": f"""{_6H} select same_section, count(*) as events,
             cast(sum(device_sent_timestamp - lag) as bigint) as gap_ms
             from gaps group by same_section""",
-        "application_run": _BY_DIM_6H,
+        "application_run": f"""{_6H}, counts as (
+            select 'all' as what, '*' as ref, {_COUNT} from sess where {_NEW}
+            union all {_each_dim(_COUNT, 'sess', where=_NEW)}),
+            medians as ({_each_dim(_LOW, 'sess', where='same_section')})
+            select what, ref, qtd_session, median from counts left join medians using (what, ref)""",
         "application_run_per_file": f"""{_6H_FILE} select file as day, {_COUNT}
-            from sess where {_NEW} group by file""",
+            from sess where {_NEW} group by file union all select '2000-01-01', 0""",
         "result_json": f"""{_6H}, rows_ as ({_each_dim(_COUNT, 'sess', where=_NEW)})
             select what, {_json_object('ref', 'qtd_session')} as json
             from rows_ group by what""",
@@ -164,8 +168,10 @@ def oracles() -> dict[str, str]:
             union all select 3, {_json_object('what', 'obj')} from three_by""",
         "clickstream_in_order": f"{_6H} select {_SESSION_COLUMNS} from sess",
         "file_values": f"{_6H} select file, count(*) as events from clicks group by file",
-        "approx_quantile_within_error": f"""{_6H} select count(*) as gaps,
-            true as within_error from sess where same_section""",
+        "approx_quantile_gap": f"""{_6H} select count(*) as gaps, true as proven,
+            greatest(cast(ceil(count(*) * 0.5) as bigint) - count(*) // 4, 1) as rank_from,
+            least(cast(ceil(count(*) * 0.5) as bigint) + count(*) // 4, count(*)) as rank_to
+            from sess where same_section""",
         "session_gaps": f"{_30M} select {_GAPS_COLUMNS} from gaps",
         "session_gaps_6h": f"{_6H} select {_GAPS_COLUMNS} from gaps",
         "session_gaps_ticks": f"{_6H} select {_GAPS_COLUMNS} from gaps",
@@ -238,13 +244,22 @@ def oracles() -> dict[str, str]:
         "gap_list_by_session": f"""{_6H}, once as (
             select distinct session_id, cast(round(delta_seg * 1000) as bigint) as ms
             from sess)
-            select session_id, string_agg(cast(ms as varchar), ',' order by ms) as deltas_ms
-            from once group by session_id""",
+            select session_id, ms // 2000000 as portion,
+                string_agg(cast(ms as varchar), ',' order by ms) as deltas_ms
+            from once group by all""",
         "answer_1": _PER_FILE,
         "answer_2": _BY_DIM_FILE,
         "answer_3": _ALL_FILES_MEDIAN,
         "answer_3_fold": _FOLD,
         "stream_counts": _BY_DIM_FILE,
+        "stream_counts_compacted": _BY_DIM_FILE,
+        "stream_quarantine": f"""{_6H}, batches as (
+            select n, (device_sent_timestamp - min(device_sent_timestamp) over ()) * 3 // (
+                max(device_sent_timestamp) over () - min(device_sent_timestamp) over () + 1) as batch
+            from clicks)
+            select 'sessions' as kind, 0::bigint as of, {_COUNT} from sess where {_NEW}
+            union all select 'broken in ' || batch, cast(sum(n) as bigint), count(*)
+            from batches where n % 5 = 0 group by batch""",
         "stream_median": _ALL_FILES_MEDIAN,
         "stream_session_window": f"""{_6H_STRICT} select anonymous_id, {_DIMS},
             min(device_sent_timestamp) as start_ts, max(device_sent_timestamp) as end_ts,

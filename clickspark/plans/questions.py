@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from clickspark.operators.folds import fold_counts, fold_median_compat
 from clickspark.operators.medians import median_gap_by_dim
-from clickspark.operators.metrics import sessions_by_dim
+from clickspark.operators.metrics import sessions_by_dim, with_empty_files
 from clickspark.operators.starts import session_starts
 from clickspark.schema import FILE_COLUMN, SessionSpec
-from clickspark.sources.clicks import read_clicks
+from clickspark.sources.clicks import input_files, read_clicks
 from clickspark.sources.shared import materialize
 
 Answers = tuple[DataFrame, DataFrame, DataFrame]
@@ -21,6 +21,7 @@ def answer_questions(
     spec: SessionSpec = SessionSpec(),
     median: str = "all",
     file: str = FILE_COLUMN,
+    files: DataFrame | None = None,
 ) -> Answers:
     """Sessions per file, sessions per dimension value and median gap per
     dimension value.
@@ -29,7 +30,8 @@ def answer_questions(
     ``median``: ``"all"`` over the gaps of all files, ``"exact"`` the same
     without approximation, ``"fold"`` the running average over the files' own.
     Sessions per file and dimension value are written once, as they hold both
-    counts: every session has one value of each dimension.
+    counts: every session has one value of each dimension. ``files`` (as
+    ``input_files`` gives them) adds a count of 0 for files without events.
     """
     if median not in ("all", "exact", "fold"):
         raise ValueError(f"median must be all, exact or fold, not {median!r}")
@@ -43,6 +45,8 @@ def answer_questions(
         .groupBy(file)
         .agg(F.sum("qtd_session").alias("qtd_session"))
     )
+    if files is not None:
+        per_file = with_empty_files(per_file, files, file)
     if median == "fold":
         gaps = fold_median_compat(median_gap_by_dim(clicks, spec, by=(file,)), file)
     else:
@@ -65,11 +69,12 @@ def run(
     sessionizes each file by itself; otherwise sessions go on from one file to
     the next, and the count per file is that of the sessions starting in it
     taken together, under the name ``"*"``. ``full_path`` tells files by their
-    path instead of their name.
+    path instead of their name. A file without events has 0 sessions.
     """
     clicks = read_clicks(spark, path, by_file=by_file, full_path=full_path)
     if not by_file:
         clicks = clicks.withColumn(FILE_COLUMN, F.lit("*"))
     needed = clicks.select(*dict.fromkeys([FILE_COLUMN, *spec.keys, spec.ts]))
     staged = materialize(needed, "clicks")
-    return answer_questions(staged, spec, median)
+    files = input_files(spark, path, full_path) if by_file else None
+    return answer_questions(staged, spec, median, files=files)

@@ -45,8 +45,7 @@ class SessionSpec:
     one shuffle. ``"ticks"`` bounds every group whatever the data, at the cost
     of more shuffles. ``"auto"`` takes ticks for users of more than
     ``max_group_rows`` events, and for all users should there be more than
-    ``max_listed_users`` such. All give the same result, but that strict ids of
-    events without a timestamp are told apart only in the user layout.
+    ``max_listed_users`` such. All give the same result.
     ``block_ms``: span of time one window group holds in the ticks layout.
     """
 

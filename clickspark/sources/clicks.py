@@ -36,6 +36,17 @@ def read_clicks(
     return clicks.select(*columns)
 
 
+def input_files(spark: SparkSession, path: str | list[str], full_path: bool = True) -> DataFrame:
+    """A row (``file``) for each file that ``read_clicks`` finds there, also for those
+    without a line or a byte. They come from the listing that Spark's driver makes of
+    any input; none is opened."""
+    names = spark.read.format("binaryFile").load(path).inputFiles()
+    found = spark.createDataFrame([(n,) for n in names], f"{FILE_COLUMN} string")
+    # As rows name their file: a local one with a single slash.
+    name = F.regexp_replace(FILE_COLUMN, "^([A-Za-z0-9+.-]+):///", "$1:/")
+    return found.select((name if full_path else F.substring_index(name, "/", -1)).alias(FILE_COLUMN)).distinct()
+
+
 def _as_text(schema: T.StructType, corrupt: str | None = None) -> T.StructType:
     """``schema`` with whole numbers as they stand in the file."""
     fields = [
@@ -66,14 +77,16 @@ def stream_clicks(
     schema: T.StructType = CLICK_SCHEMA,
     files_per_batch: int = 1,
     full_path: bool = True,
+    corrupt: str | None = None,
 ) -> DataFrame:
-    """The same files as a stream, in arrival order."""
-    clicks = (
-        spark.readStream.schema(_as_text(schema))
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(path)
-    )
-    return clicks.select(*_numbers(schema), *([_source(full_path)] if by_file else []))
+    """The same files as a stream, in arrival order. Broken lines are kept in the
+    column ``corrupt``, if it is named; ``quarantine`` has a sink for them."""
+    reader = spark.readStream.schema(_as_text(schema, corrupt))
+    if corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    clicks = reader.option("maxFilesPerTrigger", files_per_batch).json(path)
+    kept = [F.col(corrupt)] if corrupt else []
+    return clicks.select(*_numbers(schema), *kept, *([_source(full_path)] if by_file else []))
 
 
 def read_saved(

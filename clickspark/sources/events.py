@@ -61,15 +61,30 @@ def replayed(clicks: DataFrame, arrived: Column, parts: int) -> DataFrame:
     """``clicks`` as a stream of ``parts`` files, one a micro-batch, in the order of the
     whole number ``arrived``: its range is cut into parts of equal width. For replaying
     samples: a part is written as one file, so that it is one batch."""
-    spark, path = clicks.sparkSession, shared_path(clicks.sparkSession, "replayed")
+    path = written_in_order(clicks, arrived, parts)
+    stream = clicks.sparkSession.readStream.schema(clicks.schema)
+    return stream.option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def written_in_order(
+    clicks: DataFrame,
+    arrived: Column,
+    parts: int,
+    format: str = "parquet",
+    columns: list[str] | None = None,
+) -> str:
+    """The folder of ``replayed``, whose files are the older the earlier their part is.
+    They have all ``columns`` of ``clicks``, or those given."""
+    path = shared_path(clicks.sparkSession, "replayed")
+    columns = columns or clicks.columns
     timed = clicks.withColumn("__arrived", arrived)
     low, high = timed.agg(F.min("__arrived"), F.max("__arrived")).first()
     if low is None:
-        clicks.write.parquet(path)
+        clicks.select(*columns).write.format(format).save(path)
     else:
         share = (F.col("__arrived") - F.lit(low)) * parts
         at = F.floor(share / F.lit(high - low + 1)).cast("int")
         for part in range(parts):  # one after the other, as files are taken by their age
-            timed.where(at == part).drop("__arrived").coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(clicks.schema).option("maxFilesPerTrigger", 1)
-    return stream.parquet(path)
+            chosen = timed.where(at == part).select(*columns).coalesce(1)
+            chosen.write.format(format).mode("append").save(path)
+    return path

@@ -78,6 +78,18 @@ def test_only_needed_columns_are_read(stored):
     assert read(cs.top_users(stored)) == {"anonymous_id"}
 
 
+def test_only_keys_time_and_a_hash_are_shuffled(stored):
+    """What is not asked for is hashed to settle ties, and does not travel."""
+    for df in (
+        cs.sessionize(stored, USER).select("session_id"),
+        cs.sessionize(stored, USER.with_(mode="strict")).select("session_id"),
+        cs.session_gaps(stored, USER).select("delta_seg"),
+    ):
+        below = re.search(r"Exchange hashpartitioning.*?\n[^\n]*Project \[(.*?)\]\n", plan(df), re.S)[1]
+        travels = set(re.findall(r"(\w+)#", re.sub(r"xxhash64\(.*\) AS ", "", below)))
+        assert travels <= {*SPEC.keys, SPEC.ts, "n", "__print"}
+
+
 def test_user_filter_reaches_the_scan_through_the_windows(stored):
     for df in (stored, cs.sessionize(stored, USER), cs.session_starts(stored)):
         if "start_ts" in df.columns:

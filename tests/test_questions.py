@@ -151,13 +151,18 @@ def test_approximate_quantile_is_within_its_error(spark):
     df = clicks(spark, random_rows(13, unique_ts=True, size=900))
     for layout in ("user", "ticks"):
         spec = SPEC.with_(layout=layout)
-        value = cs.approx_quantile_gap(df, spec).first().quantile
+        found = cs.approx_quantile_gap(df, spec).first()
+        value = found.quantile
         gaps = sorted(
             r.gap_ms / 1000 for r in continuation_gaps(df, spec).collect() for _ in range(r.events)
         )
         below = sum(g < value for g in gaps) / len(gaps)
         upto = sum(g <= value for g in gaps) / len(gaps)
         assert below <= 0.75 and upto >= 0.25
+        assert (found.gaps, found.rank_from, found.proven) == (len(gaps), -(-len(gaps) // 2) - len(gaps) // 4, True)
+        assert (found.least_rank, found.most_rank) == (gaps.index(value) + 1, round(upto * len(gaps)))
+    none = cs.approx_quantile_gap(df.limit(0), SPEC).first()
+    assert (none.quantile, none.gaps) == (None, 0)
 
 
 def test_dimension_totals_equal_the_number_of_sessions(spark):
@@ -312,3 +317,40 @@ def test_ties_get_the_same_ids_in_every_layout(spark):
             got = cs.sessionize(frame, spec).collect()
             shown.append(sorted((r.device_family, r.event, r.session_id, r.same_section) for r in got))
     assert all(s == shown[0] for s in shown)
+
+
+def test_one_session_of_a_scope(spark):
+    spec = cs.SessionSpec(mode="strict", scope=("file",))
+    df = clicks(spark, [click("u", "d", "o", "b", T0 + k * MINUTE, k) for k in range(3)])
+    df = df.withColumn("file", F.when(F.col("n") < 2, "a"))
+    found = cs.sessionize(df, spec)
+    assert cs.one_session(found, "session_1_u").count() == 3
+    assert {r.n for r in cs.one_session(found, "session_1_u", file="a").collect()} == {0, 1}
+    assert {r.n for r in cs.one_session(found, "session_1_u", file=None).collect()} == {2}
+
+
+def test_lists_of_gaps_come_in_portions(spark):
+    at = [T0 + ms for ms in (0, 5, 105, 400, 401, 1_400)]
+    df = clicks(spark, [click(None, "d", "o", "b", t, n) for n, t in enumerate(at)])
+    lists = cs.gap_list_by_session(cs.sessionize(df), portion_ms=100).collect()
+    got = {r.portion: r.deltas for r in lists}
+    assert got == {0: [0.0, 0.001, 0.005], 1: [0.1], 2: [0.295], 9: [0.999]}
+    assert [tuple(r) for r in cs.median_distinct_gap_by_session(cs.sessionize(df)).collect()] == [
+        (None, pytest.approx(0.05))
+    ]
+
+
+def test_files_without_events_have_no_sessions(spark, tmp_path):
+    line = '{"anonymous_id":"u","device_sent_timestamp":1577836800000}\n'
+    names = {"a/x.gz": line, "b/x.gz": "", "b/blank line.json": "\n", "b/ä%20.json": line, "b/none": ""}
+    for name, text in names.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        write = gzip.open if name.endswith("gz") else open
+        with write(tmp_path / name, "wt") as out:
+            out.write(text)
+    source = [str(tmp_path / "a"), str(tmp_path / "b")]
+    by_path = {r.file: r.qtd_session for r in cs.run(spark, source)[0].collect()}
+    assert len(by_path) == 5 and sum(by_path.values()) == 2
+    assert [n for f, n in sorted(by_path.items()) if f.endswith("x.gz")] == [1, 0]
+    short = {r.file: r.qtd_session for r in cs.run(spark, source, full_path=False)[0].collect()}
+    assert sorted(short.values()) == [0, 0, 1, 1] and short["x.gz"] == 1

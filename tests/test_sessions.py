@@ -9,7 +9,7 @@ from conftest import HAND, MINUTE, SPEC, T0, click, clicks
 from pyspark.sql import functions as F
 
 from clickspark import session_gaps, session_smoke, session_starts, sessionize
-from clickspark.operators.layout import by_size
+from clickspark.operators.layout import by_size, fingerprint
 
 LAYOUTS = [
     SPEC.with_(layout="user"),
@@ -205,6 +205,42 @@ def test_large_and_small_users_together(spark, mode):
     assert whole == divided
 
 
+def untimed_rows(seed):
+    """Timed events, and a third without a time: copies, missing tiebreaks, a heavy user."""
+    rng, rows = random.Random(seed), random_rows(seed, size=120)
+    for n in range(60):
+        user = "u1" if n % 2 else rng.choice(["u2", None])
+        tie = rng.choice([None, 1, 2, 3, n])
+        row = click(user, rng.choice("ab"), "x", "c", None, tie, rng.choice("ef"))
+        rows += [row] * rng.choice([1, 1, 4])
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("mode", ["compat", "strict"])
+@pytest.mark.parametrize("seed", [31, 32])
+def test_layouts_agree_on_events_without_a_time(spark, mode, seed, monkeypatch):
+    monkeypatch.setattr("clickspark.operators.layout.ROWS_PER_PORTION", 2)
+    df = clicks(spark, untimed_rows(seed)).withColumn("M", F.create_map(F.lit("k"), "event"))
+    df = df.drop("event").cache()
+    shown = [*[c for c in df.columns if c != "M"], F.col("M")["k"], "same_section", "delta_seg", "session_id"]
+    first, *others = (
+        Counter(map(tuple, sessionize(df, SPEC.with_(mode=mode, **layout)).select(*shown).collect()))
+        for layout in ({"layout": "user"}, {"layout": "ticks"}, {"max_group_rows": 1}, {"max_group_rows": 60})
+    )
+    assert sum(first.values()) == df.count()
+    assert all(first == other for other in others)
+    if mode == "strict":
+        at = df.columns.index(SPEC.ts)
+        ids = [k[-1] for k in first.elements() if k[at] is None and k[0] is not None]
+        assert len(ids) == len(set(ids))
+
+
+def test_maps_in_another_order_are_the_same(spark):
+    both = spark.sql("select map('a', 1, 'b', 2) as m, 1 as x union all select map('b', 2, 'a', 1), 1")
+    assert both.select(fingerprint(both, SPEC)).distinct().count() == 1
+
+
 def test_settings_are_checked():
     for wrong in ({"mode": "x"}, {"layout": "x"}, {"gap_ms": 0}, {"block_ms": 0}):
         with pytest.raises(ValueError):

@@ -20,7 +20,15 @@ from clickspark.streaming.event_time import (
 )
 from clickspark.streaming.incremental import BY_FILE, counts_of_batch, sketches_of_batch
 from clickspark.streaming.ledger import SessionLedger, read_sessions, start_sessionizing
-from clickspark.streaming.sinks import read_batches, run_available, start_batches
+from clickspark.streaming.sinks import (
+    compact,
+    read_batches,
+    read_quarantine,
+    read_results,
+    run_available,
+    start_batches,
+    start_quarantined,
+)
 from clickspark.streaming.windows import (
     DroppedRows,
     all_windows,
@@ -203,6 +211,55 @@ def test_counts_and_medians_as_files_arrive(spark, tmp_path):
     assert in_order(cs.merge_sketches(sketches)) == in_order(medians)
 
 
+def test_broken_lines_of_a_stream_are_kept_aside(spark, tmp_path):
+    rows, (source, out) = ordered_rows(), (tmp_path / "in", str(tmp_path / "out"))
+    arrive(source, rows, 4)
+    for part in (1, 3):
+        with open(source / f"part-{part:05d}.json", "a") as more:
+            more.write("{broken %d\n[1]\n" % part)
+        os.utime(source / f"part-{part:05d}.json", (1_700_000_000 + part * 60,) * 2)
+    for _ in range(2):  # the second time the last batch runs again
+        stream = stream_clicks(spark, str(source), by_file=False, corrupt="line")
+        start_quarantined(stream, out, str(tmp_path / "cp"), "line").awaitTermination()
+        commits = tmp_path / "cp" / "commits"
+        (commits / "3").unlink(), (commits / ".3.crc").unlink()
+    assert in_order(read_results(spark, out)) == in_order(clicks(spark, rows))
+    broken = sorted(tuple(r) for r in read_quarantine(spark, out, ["line"]).collect())
+    assert broken == [("[1]", 1), ("[1]", 3), ("{broken 1", 1), ("{broken 3", 3)]
+
+
+def test_old_batches_are_merged(spark, tmp_path):
+    rows, out = ordered_rows(), str(tmp_path / "out")
+    arrive(tmp_path / "in", rows, 8)
+    source = str(tmp_path / "in")
+    run = lambda: start_batches(
+        stream_clicks(spark, source), out, str(tmp_path / "cp"), counts_of_batch()
+    ).awaitTermination()
+    run()
+    whole = cs.sessions_by_dim(cs.session_starts(cs.read_clicks(spark, source), BY_FILE), BY_FILE)
+    want = in_order(whole)
+    now = lambda: in_order(cs.fold_counts(read_batches(spark, out)))
+    assert now() == want
+    folders = lambda: sorted(p.name for p in (tmp_path / "out").iterdir() if p.name.startswith("batch"))
+    assert compact(spark, out, keep=5) == 2 and now() == want
+    assert folders() == [f"batch={b}" for b in range(3, 8)]
+    fold = lambda df: cs.fold_counts(df)
+    assert compact(spark, out, keep=2, of_parts=fold) == 5 and now() == want
+    assert folders() == ["batch=6", "batch=7"]
+    assert [p.name for p in (tmp_path / "out" / "_merged").iterdir()] == ["upto=5"]
+    # Broken off before the old ones went, and before the new one was whole.
+    (tmp_path / "out" / "batch=4").mkdir()
+    (tmp_path / "out" / "batch=4" / "_SUCCESS").touch()
+    (tmp_path / "out" / "_merged" / "upto=6").mkdir()
+    assert now() == want
+    # The last batch runs again.
+    (tmp_path / "cp" / "commits" / "7").unlink(), (tmp_path / "cp" / "commits" / ".7.crc").unlink()
+    run()
+    assert now() == want
+    assert compact(spark, out, keep=1, of_parts=fold) == 6 and now() == want
+    assert folders() == ["batch=7"]
+
+
 def test_new_files_add_to_earlier_results(spark, tmp_path):
     rows = ordered_rows()
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
