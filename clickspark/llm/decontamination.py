@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickspark.llm.storage import Sent
 from clickspark.llm.words import BARE, Words, blocks, hash_spans, split_words
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -199,7 +200,7 @@ def contained(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     found = docs.sparkSession.createDataFrame([], schema)
     for block in item_blocks(items, item_id, item_text, size, least, chars):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
+        sent = Sent(docs.sparkSession, block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             known = sent.value
@@ -253,7 +254,7 @@ def clean(
     at_text = names.index(text)
     kept = docs
     for block in item_blocks(items, item_id, item_text, size, least, chars):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
+        sent = Sent(docs.sparkSession, block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             table = sent.value.table()

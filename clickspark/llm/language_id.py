@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickspark.llm.sampling import bounded_sample, remainder
+from clickspark.llm.storage import Sent
 
 UNKNOWN = "und"
 #: Letters are told apart up to this many; 0 stands for what is between words.
@@ -192,7 +193,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     each get theirs. Columns of these names are replaced. A model of an empty
     table says ``und``. The model is broadcast: it is as large as its landmarks
     (64 languages, 256 texts of 20,000 characters: a few MB)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = Sent(docs.sparkSession, model)
     others = [c for c in docs.columns if c not in ("lang_pred", "score")]
     at = others.index(text)
 
@@ -257,7 +258,7 @@ def fit_limit(
 
 def in_languages(docs: DataFrame, model: Model, limit: float, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is no stranger to the model than ``limit``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = Sent(docs.sparkSession, model)
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

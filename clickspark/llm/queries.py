@@ -127,8 +127,7 @@ from numbered group by conv_id
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = sentencepiece_codec.load(public_tokenizers.path(PIECES))
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = sentencepiece_codec.encode(docs, pieces)
-    back = sentencepiece_codec.decode(ids, pieces)
+    back = sentencepiece_codec.round_trip(docs, pieces)
     return back.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

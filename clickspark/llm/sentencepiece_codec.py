@@ -14,13 +14,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickspark.llm.storage import kept
+from clickspark.llm.storage import Sent, kept
 from clickspark.llm.word_cache import WordCache
 from clickspark.llm.words import blocks
 
 MARK = "▁"
 _MARK = MARK.encode()
-_LONG = 96
+#: Words up to this many bytes go through the trie together, if there are enough.
+_LONG = 4096
+_CLASSES = (0, 8, 12, 16, 24, 40, 96, 192, 384, 768, 1536, _LONG)
+_ENOUGH = 24
 _ROWS = 256
 _UNKNOWN_PENALTY = 10.0
 
@@ -201,19 +204,25 @@ def viterbi_many(pieces: Pieces, words: list[bytes]) -> tuple[np.ndarray, np.nda
     The sum of log scores is largest; of equal ones the one whose last piece is
     longest is taken, and so on towards the front. A character that is not a
     piece itself may stand as unknown and becomes its bytes' pieces. All words
-    go through the trie together, a byte at a time, in classes of like length;
-    very long ones by themselves.
+    go through the trie together, a byte at a time, in classes of like length and
+    portions of a million bytes; very long ones, and long ones that are few, by
+    themselves.
     """
     found: list = [None] * len(words)
     sizes = np.array([len(w) for w in words])
-    for i in np.flatnonzero(sizes > _LONG):
-        found[i] = viterbi(pieces, words[i])
-    for lo, hi in ((0, 8), (8, 12), (12, 16), (16, 24), (24, 40), (40, _LONG)):
+    alone = [np.flatnonzero(sizes > _LONG)]
+    for lo, hi in zip(_CLASSES, _CLASSES[1:]):
         some = np.flatnonzero((sizes > lo) & (sizes <= hi))
-        for at in range(0, len(some), 1 << 14):
-            part = some[at : at + (1 << 14)]
+        if hi > 96 and len(some) < _ENOUGH:
+            alone.append(some)
+            continue
+        each = min(1 << 14, (1 << 20) // hi)
+        for at in range(0, len(some), each):
+            part = some[at : at + each]
             for i, ids in zip(part, _together(pieces, [words[i] for i in part])):
                 found[i] = ids
+    for i in np.concatenate(alone):
+        found[i] = viterbi(pieces, words[i])
     found = [x or [] for x in found]
     counts = np.array([len(x) for x in found], np.int64)
     return np.fromiter((i for x in found for i in x), np.uint32, int(counts.sum())), counts
@@ -319,7 +328,7 @@ def encode(docs: DataFrame, pieces: Pieces, text: str = "text", ids: str = "ids"
     have no ids; repeated rows each get theirs. A column of that name is
     replaced. A literal U+2581 counts as a space. The broadcast is as large as
     the vocabulary."""
-    sent, key = docs.sparkSession.sparkContext.broadcast(pieces), pieces.key
+    sent, key = Sent(docs.sparkSession, pieces), pieces.key
     others = [c for c in docs.columns if c != ids]
     at_text = others.index(text)
 
@@ -342,7 +351,7 @@ def encode(docs: DataFrame, pieces: Pieces, text: str = "text", ids: str = "ids"
 def decode(rows: DataFrame, pieces: Pieces, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``rows`` with the text that ``ids`` stand for (null ids: null). A column
     of that name is replaced. An id outside the vocabulary is an error."""
-    sent, key = rows.sparkSession.sparkContext.broadcast(pieces), pieces.key
+    sent, key = Sent(rows.sparkSession, pieces), pieces.key
     others = [c for c in rows.columns if c != text]
     at_ids = others.index(ids)
 
@@ -360,3 +369,30 @@ def decode(rows: DataFrame, pieces: Pieces, ids: str = "ids", text: str = "decod
     kept_columns = rows.select(*(F.col(f"`{c}`") for c in others))
     schema = T.StructType([*kept_columns.schema.fields]).add(text, T.StringType())
     return kept_columns.mapInArrow(run, schema)
+
+
+def round_trip(
+    docs: DataFrame, pieces: Pieces, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``docs`` with both columns, worked out a
+    few rows at a time in one worker, with one vocabulary and one cache."""
+    sent, key = Sent(docs.sparkSession, pieces), pieces.key
+    others = [c for c in docs.columns if c not in (ids, decoded)]
+    at_text = others.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = kept(("codec", key), lambda: Codec(sent.value))
+        for batch in batches:
+            for at, to, texts in blocks(batch.column(at_text), 1 << 20):
+                found, sizes = codec.encode(texts)
+                cuts = np.concatenate(([0], np.cumsum(sizes)))
+                back = [codec.decode(found[a:b].tolist()) for a, b in zip(cuts[:-1], cuts[1:])]
+                lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(found.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(at, to - at).columns, lists, pa.array(back, pa.string())],
+                    [*others, ids, decoded],
+                )
+
+    rows = docs.select(*(F.col(f"`{c}`") for c in others))
+    schema = T.StructType([*rows.schema.fields]).add(ids, T.ArrayType(T.IntegerType()))
+    return rows.mapInArrow(run, schema.add(decoded, T.StringType()))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import os
+import pickle
 import sys
 import types
 import uuid
@@ -11,16 +12,37 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow.fs
+from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 
 _KEPT = "_clickspark_llm_kept"
 
 
+_MOST_KEPT = 2
+
+
 def kept(name: Any, make: Callable[[], Any]) -> Any:
-    """An object that the tasks of one worker process share, made by the first."""
-    held = sys.modules.setdefault(_KEPT, types.ModuleType(_KEPT)).__dict__
-    if name not in held:
-        held[name] = make()
-    return held[name]
+    """An object that the tasks of one worker process share, made by the first. The
+    process keeps the two used last: what earlier stages kept goes."""
+    held = sys.modules.setdefault(_KEPT, types.ModuleType(_KEPT)).__dict__.setdefault("objects", {})
+    found = held.pop(name) if name in held else make()
+    held[name] = found
+    while len(held) > _MOST_KEPT:
+        del held[next(iter(held))]
+    return found
+
+
+class Sent:
+    """A broadcast object whose class workers need not know: sent as bytes that hold
+    the class too, and made from them once in a worker process."""
+
+    def __init__(self, spark: SparkSession, value: Any):
+        self.key = uuid.uuid4().hex
+        self.data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self) -> Any:
+        return kept(("sent", self.key), lambda: pickle.loads(self.data.value))
 
 
 def _local(path: str) -> str | None:

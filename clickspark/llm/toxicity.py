@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickspark.llm.sampling import bounded_sample, remainder
+from clickspark.llm.storage import Sent
 from clickspark.llm.words import BARE, blocks, hash_spans, split_words
 
 BITS = 20
@@ -174,7 +175,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     these names are replaced. The model is broadcast: it has at most 2**20
     weights (12 MB), and few after L1.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = Sent(docs.sparkSession, model)
     others = [c for c in docs.columns if c not in ("score", "predicted")]
     at = others.index(text)
 
