@@ -18,7 +18,8 @@ class Template:
     A turn is ``opening``, the role's label, ``after_label``, its text and
     ``closing``. The control strings begin with characters of ``escapes``, and
     these never appear in an escaped text or label: each is written as
-    a backslash and its letter.
+    a backslash and its letter. A template of which that does not hold is refused, as
+    a text could pass for a turn.
     """
 
     opening: str = "### "
@@ -41,6 +42,20 @@ class Template:
     #: Escaped in this order. The backslash comes first; ":" is for labels.
     escapes: tuple[tuple[str, str], ...] = (("\\", "e"), ("#", "h"), ("<", "l"), (":", "c"))
 
+    def __post_init__(self) -> None:
+        chars = [c for c, _ in self.escapes]
+        letters = [x for _, x in self.escapes]
+        if not chars or chars[0] != "\\" or any(len(c) != 1 for c in [*chars, *letters]):
+            raise ValueError("escapes are single characters, the backslash first")
+        if len({*chars}) < len(chars) or len({*letters}) < len(letters) or {*chars} & {*letters}:
+            raise ValueError("escaped characters and their letters must differ from each other")
+        for control in (self.opening, self.after_label, self.closing):
+            if control[:1] not in chars[1:]:
+                raise ValueError(f"a text could hold {control!r}: it must begin with an escaped character")
+        names = [*self.labels.values()]
+        if len({*names}) < len(names) or any(n[:1] == "?" or {*n} & {*chars} for n in names):
+            raise ValueError("labels differ, begin with no question mark and hold no escaped character")
+
     def escape(self, text: Column) -> Column:
         for char, letter in self.escapes:
             text = F.replace(text, F.lit(char), F.lit("\\" + letter))

@@ -207,7 +207,7 @@ def _parse(head: bytes) -> dict[str, str]:
     repeated ones counts."""
     fields: dict[str, str] = {}
     last = None
-    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+    for line in head.decode("utf-8", "replace").replace("\r\n", "\n").split("\n")[1:]:
         if line[:1] in (" ", "\t") and last:
             fields[last] += " " + line.strip()
         elif ":" in line:
@@ -242,10 +242,14 @@ class Record:
             "payload": None,
         }
         if get("content-type", "").startswith("application/http"):
-            block = self.block(None if with_payload else _PEEK)
-            http, _, payload = block.partition(b"\r\n\r\n")
+            http, begins = _http_header(self.block)
             length = _parse(http).get("content-length", "")
-            row["payload_length"] = int(length) if length.isdigit() else None
+            whole = int(get("content-length", 0))
+            if length.isdigit():
+                row["payload_length"] = int(length)
+            elif row["record_type"] != "revisit":  # what the record has after the header
+                row["payload_length"] = max(0, whole - begins)
+            payload = self.block(None)[begins:] if with_payload else b""
         elif with_payload:
             payload = self.block(None)
             row["payload_length"] = len(payload)
@@ -256,6 +260,23 @@ class Record:
         return row
 
 
+def _http_header(read: Callable[[int], bytes]) -> tuple[bytes, int]:
+    """The HTTP header of a block, however long, and where the payload begins. Lines
+    end in CR LF or, as some servers have it, in LF alone. A block without the empty
+    line that ends a header is all header."""
+    limit = _PEEK
+    while True:
+        block = read(limit)
+        found = [(block.find(mark), len(mark)) for mark in (b"\r\n\r\n", b"\n\n")]
+        found = [f for f in found if f[0] >= 0]
+        if found:
+            at, mark = min(found)
+            return block[:at], at + mark
+        if len(block) < limit:
+            return block, len(block)
+        limit *= 4
+
+
 def _member(source, start: int) -> tuple[Record, int | Callable[[], int]]:
     """The record of the gzip member at ``start``, and where the next begins: a
     place if the member notes its length, else what finds it by inflating."""
@@ -264,7 +285,7 @@ def _member(source, start: int) -> tuple[Record, int | Callable[[], int]]:
     noted = first[3] & 4 and first[12:14] == b"sl"
     whole = struct.unpack("<I", first[16:20])[0] if noted else None
     inflate = zlib.decompressobj(31)
-    data = inflate.decompress(first)
+    data = bytearray(inflate.decompress(first))  # grows in place
     at = start + len(first)
 
     def more(limit: int | None) -> None:
@@ -279,14 +300,14 @@ def _member(source, start: int) -> tuple[Record, int | Callable[[], int]]:
     while b"\r\n\r\n" not in data and not inflate.eof:
         more(len(data) + 1)
     cut = data.index(b"\r\n\r\n")
-    head = data[:cut]
+    head = bytes(data[:cut])
     length = int(_parse(head).get("content-length", 0))
 
     def block(limit: int | None) -> bytes:
         most = length if limit is None else min(length, limit)
         source.seek(at)
         more(cut + 4 + most)
-        return data[cut + 4 : cut + 4 + most]
+        return bytes(data[cut + 4 : cut + 4 + most])
 
     if whole:
         return Record(head, block), start + whole

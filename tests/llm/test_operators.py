@@ -1,6 +1,7 @@
 """The operators against brute force, and on odd rows."""
 
 import collections
+import gzip
 import hashlib
 import random
 import re
@@ -456,3 +457,35 @@ def test_words_and_their_hashes():
     assert words.first.tolist() == [0, 3, 3, 53]
     hashes = hash_spans(words.data, words.starts, words.ends)
     assert hashes.tolist() == [xxhash.xxh64_intdigest(w, 42) for w in found]
+
+
+def test_templates_that_texts_could_imitate_are_refused():
+    for wrong in (
+        {"opening": "<|s|>", "after_label": "\n", "closing": "|end|"}, {"closing": ""},
+        {"escapes": (("#", "h"), ("<", "l"), (":", "c"))}, {"labels": {"user": "A:B"}},
+        {"escapes": (("\\", "e"), ("#", "<"), ("<", "l"), (":", "c"))}, {"labels": {"user": "?"}},
+    ):
+        with pytest.raises(ValueError):
+            chat.Template(**wrong)
+
+
+def http_record(http, payload, kind="response", crlf=b"\r\n"):
+    block = http + payload
+    head = [b"WARC/1.1", b"WARC-Type: " + kind.encode(), b"WARC-Record-ID: <urn:x:1>",
+            b"Content-Type: application/http; msgtype=response", b"Content-Length: %d" % len(block)]
+    return b"\r\n".join(head) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_headers_of_other_archives(spark, tmp_path, packed):
+    long = b"HTTP/1.1 200 OK\r\nX: " + b"y" * 9_000 + b"\r\nContent-Length: 5\r\n\r\n"
+    plain = b"HTTP/1.1 200 OK\nServer: old\n\n"
+    records = [http_record(long, b"hello"), http_record(plain, b"a\r\n\r\nb" * 100_000), http_record(b"HTTP/1.1 204", b"")]
+    data = b"".join(gzip.compress(r) if packed else r for r in records)
+    (tmp_path / "other.warc").write_bytes(data)
+    payloads = [b"hello", b"a\r\n\r\nb" * 100_000, b""]
+    for more in ({}, {"payload": "false"}):
+        rows = warc.read_warc(spark, str(tmp_path / "other.warc"), **more).collect()
+        assert sorted(r.payload_length for r in rows) == sorted(map(len, payloads))
+        if not more:
+            assert sorted(bytes(r.payload) for r in rows) == sorted(payloads)
