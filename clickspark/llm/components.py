@@ -65,6 +65,7 @@ def linked_places(
     postings: DataFrame,
     near: Callable[[Column, Column], Column],
     verified: Callable[[DataFrame], DataFrame] | None = None,
+    lookback: int = 0,
 ) -> DataFrame:
     """The groups (``node``, ``root``) of nodes that share a bucket and link.
 
@@ -78,6 +79,11 @@ def linked_places(
     that arise are put together; then nodes that are not in their centre's group
     are compared with the nodes of the bucket in other groups. Pairs within a
     group are left out, as they join nothing new, and no pair that could is.
+
+    A pair meets in each bucket that it shares. With ``lookback`` a node brings to
+    a bucket the keys of the last so many of its buckets before it, in the order of
+    keys, and a pair that shares one of those is not made again: it was made in the
+    first bucket that it shares, where there is none before.
     """
     mark = "mark" if "mark" in postings.columns else "node"
     parts = list(dict.fromkeys(["node", mark]))
@@ -113,7 +119,18 @@ def linked_places(
         ),
         "placed",
     )
-    apart = placed.where("root <> centre_root").select("key", "x", "root")
-    others = placed.select("key", F.col("x").alias("y"), F.col("root").alias("other_root"))
-    more = links(apart.join(others, "key").where("root <> other_root").select("x", "y"))
+    new = F.lit(True)
+    if lookback:
+        # Two nodes of different groups share only buckets that are left here.
+        mixed = placed.where("root <> centre_root").select("key").distinct()
+        in_order = Window.partitionBy("x.node").orderBy("key")
+        before = F.array_compact(F.array(*(F.lag("key", k).over(in_order) for k in range(1, lookback + 1))))
+        placed = materialize(placed.join(mixed, "key", "left_semi").distinct().withColumn("before", before), "placed")
+        new = ~F.arrays_overlap("before", "other_before")
+    apart = placed.where("root <> centre_root").drop("centre_root")
+    others = placed.drop("centre_root").withColumnsRenamed(
+        {"x": "y", "root": "other_root", "before": "other_before"}
+    )
+    met = apart.join(others, "key").where("root <> other_root").where(new)
+    more = links(met.select("x", "y"))
     return places if more.isEmpty() else components(first.unionByName(more))
