@@ -295,3 +295,18 @@ def test_ledger_batch_may_be_run_again(spark, tmp_path):
     assert in_order(read_sessions(spark, str(tmp_path))) == in_order(
         cs.sessionize(clicks(spark, rows), STRICT)
     )
+
+
+def test_event_time_runs_on_a_session_without_rocksdb(spark, tmp_path):
+    """The check builds its own session; the buffer's state needs RocksDB anyway."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.unset(key)
+    try:
+        rows = [click("u1", "a", "o", "b", T0 + m * MINUTE, m) for m in (0, 5, 50)] + [LAST]
+        out, _, _ = run_in_event_time(spark, tmp_path, rows, 2, STRICT)
+        assert read_released(spark, out).count() == 3
+        assert spark.conf.get(key, None) is None
+    finally:
+        if before is not None:
+            spark.conf.set(key, before)
