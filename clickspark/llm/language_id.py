@@ -256,15 +256,23 @@ def fit_limit(
     return min(most + margin, 0.99)  # texts without a letter are never in a language
 
 
+def in_language(model: Model, texts: list[str | None], limit: float) -> np.ndarray:
+    """Whether each text is in one of the model's languages: the regression names one
+    (``scores``), and the text is no stranger to the model than ``limit``."""
+    langs, _ = scores(model, texts)
+    named = np.array([lang != UNKNOWN for lang in langs], dtype=bool)
+    return named & (strangeness(model, texts) <= limit)
+
+
 def in_languages(docs: DataFrame, model: Model, limit: float, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text is no stranger to the model than ``limit``."""
+    """The rows of ``docs`` whose text is in one of the model's languages (``in_language``)."""
     sent = Sent(docs.sparkSession, model)
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(at).cast(pa.large_string()).to_pylist()
-            yield batch.filter(pa.array(strangeness(sent.value, texts) <= limit))
+            yield batch.filter(pa.array(in_language(sent.value, texts, limit)))
 
     return docs.mapInArrow(run, docs.schema)
 

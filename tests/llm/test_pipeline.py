@@ -144,3 +144,16 @@ print("all ran")
 """)
     ran = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=400)
     assert "all ran" in ran.stdout, ran.stderr[-3000:]
+
+
+def test_the_language_stage_keeps_what_the_regression_names():
+    from clickspark.llm import language_id
+
+    en = ["the cat sat on the mat and then it slept", "where is the house of the old man", "we went to the shop"]
+    fr = ["le chat est sur la table et il dort", "où est la maison du vieil homme", "nous sommes allés au marché"]
+    model = language_id.fit_sample([*en, *fr], ["en"] * 3 + ["fr"] * 3, landmarks=6, ridge=0.01)
+    texts = ["the old man went to the house", "le vieil homme est dans la maison", "123 !", "", None]
+    langs, _ = language_id.scores(model, texts)
+    kept = language_id.in_language(model, texts, 0.99)
+    assert list(kept) == [lang != language_id.UNKNOWN for lang in langs] == [True, True, False, False, False]
+    assert not language_id.in_language(language_id.fit_sample([], [], 6, 0.01), texts, 0.99).any()
