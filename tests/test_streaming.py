@@ -310,3 +310,21 @@ def test_event_time_runs_on_a_session_without_rocksdb(spark, tmp_path):
     finally:
         if before is not None:
             spark.conf.set(key, before)
+
+
+def test_a_replayed_part_is_one_file_read_by_its_row_groups(spark, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from clickspark.sources import events
+
+    monkeypatch.setattr(events, "ROW_GROUP_BYTES", 64 << 10)
+    rows = spark.range(40_000).select(
+        F.col("id").alias("n"), F.sha2(F.col("id").cast("string"), 256).alias("text"), (F.col("id") % 2).alias("at")
+    )
+    path = events.written_in_order(rows, F.col("at"), 2)
+    files = sorted(glob.glob(f"{path.removeprefix('file:')}/*.parquet"))
+    assert len(files) == 2
+    assert all(pq.ParquetFile(f).metadata.num_row_groups > 1 for f in files)
+    assert spark.read.parquet(path).count() == 40_000
