@@ -1,5 +1,6 @@
 """The three questions, folds and exploration."""
 
+import datetime as dt
 import gzip
 import json
 import pathlib
@@ -15,6 +16,7 @@ from test_sessions import random_rows
 import clickspark as cs
 from clickspark.operators.folds import sketch_gaps
 from clickspark.operators.medians import continuation_gaps, median_of_counts
+from clickspark.sources.events import EVENTS_SCHEMA
 
 COUNTS = {
     "device_family": {"Not Identified": 1, "": 1, "Spider": 1, "iPhone": 2, "iPhone10,6": 1},
@@ -340,6 +342,21 @@ def test_lists_of_gaps_come_in_portions(spark):
     ]
 
 
+def test_a_list_of_gaps_is_whole(spark, tmp_path):
+    """One row and one list per session, however far apart its gaps are."""
+    from clickspark.plans.catalog import catalog
+
+    hours = (0, 1, 3, 6, 6)
+    rows = [(k, dt.datetime(2024, 1, 1, h), 1, "e", 1.0, None) for k, h in enumerate(hours)]
+    rows += [(5, dt.datetime(2024, 1, 1), None, "e", 1.0, None), (6, dt.datetime(2024, 1, 1, 2), None, "e", 1.0, None)]
+    spark.createDataFrame(rows, EVENTS_SCHEMA).write.parquet(str(tmp_path / "events.parquet"))
+    got = catalog()["gap_list_by_session"](spark, str(tmp_path))
+    assert got.columns == ["session_id", "deltas_ms"]
+    assert sorted(map(tuple, got.collect()), key=str) == [
+        ("session_1_1", "0,3600000,7200000,10800000"), (None, "0,7200000"),
+    ]
+
+
 def test_files_without_events_have_no_sessions(spark, tmp_path):
     line = '{"anonymous_id":"u","device_sent_timestamp":1577836800000}\n'
     names = {"a/x.gz": line, "b/x.gz": "", "b/blank line.json": "\n", "b/ä%20.json": line, "b/none": ""}
