@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from clickspark.llm.sampling import bounded_sample, remainder
 from clickspark.llm.storage import Sent
+from clickspark.sources.shared import materialize
 
 UNKNOWN = "und"
 #: Letters are told apart up to this many; 0 stands for what is between words.
@@ -242,17 +243,29 @@ def fit_limit(
     text: str = "text",
     lang: str = "lang",
     doc_id: str = "doc_id",
-    sample_rows: int = 2048,
-    most_languages: int = 64,
-    most_chars: int = 20_000,
+    share: float = 0.999,
     margin: float = 0.1,
 ) -> float:
     """The strangeness above which a text is in none of the model's languages:
-    ``margin`` more than 0.999 of a bounded sample of ``docs`` have, which are
-    to be rows that the model was not fitted to."""
-    rows = _sample(docs, text, lang, doc_id, sample_rows, most_languages, most_chars)
-    rows = [r["text"] for r in rows if r["lang"] in model.languages and any(map(str.isalpha, r["text"]))]
-    most = float(np.quantile(strangeness(model, rows), 0.999)) if rows else 0.0
+    ``margin`` more than ``share`` of all ``docs`` of these languages have, which are to
+    be rows that the model was not fitted to. Whole texts of any length count; rows
+    without an id, a text or a letter do not. Only two values go to the driver."""
+    sent = Sent(docs.sparkSession, model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t for t in batch.column(0).cast(pa.large_string()).to_pylist() if any(map(str.isalpha, t))]
+            yield pa.RecordBatch.from_arrays([pa.array(strangeness(sent.value, texts))], ["strange"])
+
+    known = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull())
+    known = known.where(F.col(lang).cast("string").isin(model.languages))
+    told = known.select(F.col(text).cast("string")).mapInArrow(run, "strange double")
+    found = materialize(told, "strangeness")
+    # The quantile lies between the two lowest of the largest values.
+    at = share * max(0, (n := found.count()) - 1)
+    largest = found.orderBy(F.desc("strange")).limit(n - int(at))
+    ends = [r["strange"] for r in largest.orderBy("strange").limit(2).collect()] or [0.0]
+    most = ends[0] + (ends[-1] - ends[0]) * (at - int(at))
     return min(most + margin, 0.99)  # texts without a letter are never in a language
 
 

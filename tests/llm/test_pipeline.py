@@ -157,3 +157,24 @@ def test_the_language_stage_keeps_what_the_regression_names():
     kept = language_id.in_language(model, texts, 0.99)
     assert list(kept) == [lang != language_id.UNKNOWN for lang in langs] == [True, True, False, False, False]
     assert not language_id.in_language(language_id.fit_sample([], [], 6, 0.01), texts, 0.99).any()
+
+
+def test_the_limit_is_measured_on_all_rows(spark):
+    """Also on rows beyond a sample's, and on texts of any length."""
+    import numpy as np
+
+    from clickspark.llm import language_id
+
+    en = ["the cat sat on the mat and then it slept", "where is the house of the old man", "we went to the shop"]
+    fr = ["le chat est sur la table et il dort", "où est la maison du vieil homme", "nous sommes allés au marché"]
+    model = language_id.fit_sample([*en, *fr], ["en"] * 3 + ["fr"] * 3, landmarks=6, ridge=0.01)
+    long = "the cat sat on the mat " * 1_000 + "zyx wvu kjq " * 40
+    texts = [*(en * 1_000), long, long.replace("wvu", "xxq"), "qqq zzz " * 30, "ww xx jj kk " * 30, "vv uu " * 30]
+    rows = [(k, t, "en") for k, t in enumerate(texts)]
+    odd = [(None, "zzz " * 50, "en"), (-1, None, "en"), (-2, "12 !", "en"), (-3, "", "en"), (-4, "zz " * 50, "de"), (-5, "zz " * 50, None)]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    want = np.quantile(language_id.strangeness(model, texts), 0.999)
+    assert language_id.fit_limit(model, docs, margin=0.0) == pytest.approx(want) and want > 0.05
+    assert language_id.fit_limit(model, docs.limit(0)) == 0.1
+    none = language_id.fit_sample([], [], 6, 0.01)
+    assert language_id.fit_limit(none, docs) == 0.1
