@@ -328,3 +328,75 @@ def test_a_replayed_part_is_one_file_read_by_its_row_groups(spark, monkeypatch):
     assert len(files) == 2
     assert all(pq.ParquetFile(f).metadata.num_row_groups > 1 for f in files)
     assert spark.read.parquet(path).count() == 40_000
+
+
+class _State:
+    """What a task sees of one state variable."""
+
+    def __init__(self):
+        self.values, self.users, self.calls = [], {}, 0
+
+    def getListState(self, *_):
+        return self
+
+    getMapState = getListState
+
+    def registerTimer(self, at):
+        pass
+
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+    def appendList(self, values):
+        self.values += values
+
+    def get(self):
+        return iter(self.values)
+
+    def clear(self):
+        self.values = []
+
+    def getValue(self, user):
+        self.calls += 1
+        return self.users.get(user)
+
+    def updateValue(self, user, value):
+        self.users[user] = value
+
+
+def test_events_are_held_in_packs_and_users_share_lanes():
+    """The work of the buffer goes with events, not with a value of the state for each
+    event and a group for each user."""
+    import pandas as pd
+
+    from clickspark.streaming import reorder
+
+    day = 86_400_000
+    users = [f"u{k}" for k in range(3_000)]
+    seen = [(u, f'["{u}"]', at, "r", f"{u} {at}") for at in (1_000, 9_000) for u in users]
+    events = pd.DataFrame(seen, columns=["owner", "key", "ts", "rank", "row"])
+    state, held = _State(), reorder.Reorder(5_000, day)
+    held.init(state)
+    assert list(held.handleInputRows((0, 0), iter([events]), state)) == []
+    assert len(state.values) <= len(events) / 100
+    out = pd.concat(held.handleExpiredTimer((0, 0), state, None))
+    assert sorted(out["row"].dropna()) == sorted(events["row"]) and state.values == []
+    passing, numbered = out[out["kind"] == "event"], out[out["kind"] == "number"]
+    assert len(numbered) == len(events) and numbered["lane"].nunique() <= reorder.LANES
+    assert passing.groupby("lane").size().max() <= reorder.PASSING
+    told = []
+    for lane, marks in numbered.groupby("lane"):
+        state = _State()
+        number = reorder.Number(5_000, day)
+        number.init(state)
+        first, second = marks[marks["ts"] < 5_000], marks[marks["ts"] > 5_000].assign(ref=f"{day}:9000")
+        for part in (first, second):  # a later block goes on where the one before ended
+            told += number.handleInputRows((lane,), iter([part]), None)
+        assert state.calls == marks["owner"].nunique() * 2
+    told = pd.concat(told)
+    numbers = told[told["kind"] == "number"].groupby("key")["number"].apply(sorted)
+    assert len(numbers) == 3_000 and all(n == [1, 2] for n in numbers)
+    bases = told[told["kind"] == "base"]
+    assert {(k, r): n for k, r, n in zip(bases["key"], bases["ref"], bases["number"])} == {
+        (u, str(b)): n for u in users for b, n in ((0, 0), (day, 1))
+    }
