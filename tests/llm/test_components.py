@@ -21,3 +21,19 @@ def test_large_group_behind_an_unrelated_centre_makes_few_pairs(spark):
     assert sorted(roots) == sorted(alike)
     assert len({roots[n] for n in alike}) == 1
     assert sum(made) < 4 * len(alike), made
+
+
+def test_every_pair_is_verified_once(spark):
+    """Also if it meets in several buckets and rounds; settled buckets take no part."""
+    rows = [(k, n, 0) for k in (1, 2) for n in range(12)] + [(3, n, 0) for n in (0, 1, 20)]
+    postings = spark.createDataFrame(rows, "key long, node long, mark long")
+    seen = []
+
+    def verified(pairs):
+        seen.extend(tuple(r) for r in pairs.select("a", "b").collect())
+        return pairs.where("b = 20")
+
+    roots = {r.node: r.root for r in linked_places(postings, lambda a, b: a == b, verified).collect()}
+    pairs = {(a, b) for a in range(12) for b in range(a + 1, 12)} | {(0, 20)}
+    assert len(seen) == len({*seen}) and pairs <= {*seen} <= pairs | {(1, 20)}
+    assert {0, 20} <= {*roots} and roots[0] == roots[20]
